@@ -25,16 +25,17 @@ def pick(expr: str, values: list[str | None]) -> str:
 
 
 def _line(k: int) -> str:
-    a, b, c, d = 31 + 2 * k, 17 + 4 * k, 7 + 6 * k, 101 + 13 * k
-    return f"((l_orderkey * {a} + l_partkey * {b} + l_suppkey * {c} + l_linenumber * {d}) % 7919)"
+    return f"(l_orderkey + l_suppkey * {2 * k + 1})"
 
 
 def _order(k: int) -> str:
-    return f"((o_orderkey * {37 + 2 * k} + o_custkey * {11 + 4 * k}) % 7907)"
+    return f"(o_orderkey + o_custkey * {2 * k + 1})"
 
 
-def _rating(expr: str) -> str:
-    return f"CAST(NULLIF({expr} % 6, 0) AS BIGINT)"
+def _rating(k: int) -> str:
+    """1..5, missing on a pattern that gives rows with none, some and all missing."""
+    missing = f"(l_partkey + l_suppkey * {k}) % 9 = 0"
+    return f"CASE WHEN {missing} THEN NULL ELSE {_line(k)} % 5 + 1 END"
 
 
 CLIMATE = ["expect_certain_number", "support_people", "get_help", "rewarded", "priority",
@@ -53,9 +54,9 @@ STAFF = {
     "employee_survey_t1_complete": pick("l_partkey % 4", ["Incomplete", "Complete", "Complete"]),
     "burnout": pick(f"{_line(30)} % 4", ["none", "some", "strong"]),
     "help_manage": pick(f"{_line(31)} % 5", ["low", "medium", "high", None, "low"]),
-    **{i: _rating(_line(k)) for k, i in enumerate(fixed.STIGMA_ITEMS)},
-    **{i: _rating(_line(k)) for k, i in enumerate(CLIMATE, 10)},
-    **{i: _rating(_line(k)) for k, i in enumerate(_CULTURE, 16)},
+    **{i: _rating(k) for k, i in enumerate(fixed.STIGMA_ITEMS)},
+    **{i: _rating(k) for k, i in enumerate(CLIMATE, 10)},
+    **{i: _rating(k) for k, i in enumerate(_CULTURE, 16)},
 }
 AGREE = [None, "SD (1)", "D (2)", "N (3)", "A (4)", "SA (5)"]
 STAFF_TEXT = {

@@ -44,6 +44,7 @@ class Report:
     continuous: Sequence[str] = ()
     template: str = "{mean} ({sd}); [{min}, {median}, {max}]"
     levels: Sequence[str] = ()
+    digits: int = 1
 
 
 def run(
@@ -70,7 +71,9 @@ def run(
         table = dichotomous(df, report.dichotomous, by=rule.column)
         parts.append(table.withColumn("stat", no_text).select(*layout))
     if report.continuous:
-        table = continuous(df, report.continuous, by=rule.column, template=report.template)
+        table = continuous(
+            df, report.continuous, by=rule.column, template=report.template, digits=report.digits
+        )
         parts.append(
             table.withColumns(
                 {"level": no_text, "total": F.col("n"), "percent": no_number}
