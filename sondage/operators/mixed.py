@@ -187,7 +187,7 @@ def random_intercept_contrasts(
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _CONTRAST.split(",")])
 
     sums = answer_sums(df, record, item, value, names)
-    return sums.groupBy(F.lit(1)).applyInPandas(lambda pdf: fit(pdf), _CONTRAST)
+    return sums.groupBy(F.lit("all")).applyInPandas(fit, _CONTRAST)
 
 
 def intraclass_correlation(
@@ -204,4 +204,4 @@ def intraclass_correlation(
         return pd.DataFrame([row], columns=[c.split()[0] for c in schema.split(",")])
 
     sums = answer_sums(df, record, item, value, list(levels))
-    return sums.groupBy(F.lit(1)).applyInPandas(lambda pdf: fit(pdf), schema)
+    return sums.groupBy(F.lit("all")).applyInPandas(fit, schema)
