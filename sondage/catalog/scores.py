@@ -506,12 +506,11 @@ STIGMA_SQL = (
       COUNT(*) AS n FROM staff GROUP BY ALL""",
 )
 def attitude_score(spark, sf_dir):
-    form = view(spark, sf_dir, "staff")
-    return tally(
-        form, "pcc_or_mdc",
-        F.round(staff.stigma().score(), 6).alias("stigma"),
-        F.round(staff.stigma(max_missing=0).score(), 6).alias("complete_cases"),
+    scored = scales.add_scores(
+        view(spark, sf_dir, "staff"),
+        {"stigma": staff.stigma(), "complete_cases": staff.stigma(max_missing=0)},
     )
+    return tally(scored, "pcc_or_mdc", *[F.round(c, 6).alias(c) for c in ("stigma", "complete_cases")])
 
 
 @query(
@@ -520,10 +519,8 @@ def attitude_score(spark, sf_dir):
       COUNT(*) AS n FROM staff GROUP BY ALL""",
 )
 def attitude_score_rescaled(spark, sf_dir):
-    return tally(
-        view(spark, sf_dir, "staff"),
-        F.round(staff.stigma_rescaled().score(), 4).alias("stigma_score"),
-    )
+    scored = scales.add_scores(view(spark, sf_dir, "staff"), {"stigma_score": staff.stigma_rescaled()})
+    return tally(scored, F.round("stigma_score", 4).alias("stigma_score"))
 
 
 _EXTREME = " OR ".join(
@@ -547,7 +544,8 @@ def any_extreme_answer(spark, sf_dir):
 )
 def climate_score(spark, sf_dir):
     form = view(spark, sf_dir, "staff")
-    return tally(form, F.round(staff.climate(form.select(*CLIMATE)).score(), 6).alias("climate"))
+    scored = scales.add_scores(form, {"climate": staff.climate(form.select(*CLIMATE))})
+    return tally(scored, F.round("climate", 6).alias("climate"))
 
 
 def _mean(items):

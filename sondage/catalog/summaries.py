@@ -8,6 +8,7 @@ from .. import fixed_values as fixed
 from ..functions.recode import cut_right, flag
 from ..functions.style import count_percent
 from ..operators import ranks, summary
+from ..operators.scales import add_scores
 from ..plans import records, report, staff
 from .registry import query
 from .scores import DOMAINS_CTE, STIGMA_SQL, person_domains
@@ -438,7 +439,7 @@ def deciles_by_group(spark, sf_dir):
     GROUP BY pcc_or_mdc""",
 )
 def low_tail_of_score(spark, sf_dir):
-    scored = view(spark, sf_dir, "staff").select("pcc_or_mdc", staff.stigma().score().alias("stigma"))
+    scored = add_scores(view(spark, sf_dir, "staff"), {"stigma": staff.stigma()})
     # The cut is one row of one number, read once and put into the filter.
     cut = ranks.percentiles(scored, "stigma", {"cut": 0.1}, few_values=True).first()["cut"]
     return scored.groupBy("pcc_or_mdc").agg(

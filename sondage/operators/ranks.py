@@ -45,7 +45,7 @@ def ranked_counts(
     window per group is small.
     """
     v = F.col(quoted(value)).cast("double")
-    rows = df.withColumn("_v", F.when(~F.isnan(v), v)).where("_v is not null")
+    rows = df.withColumn("_v", F.nanvl(v, F.lit(None).cast("double")))
     extra = counts or {}
     by = [quoted(g) for g in groups]
     bounds = [] if few_values else slice_bounds(rows, "_v", slices)
@@ -54,8 +54,10 @@ def ranked_counts(
         rows = Bucketizer(splits=splits, inputCol="_v", outputCol="_slice").transform(rows)
     keys = by + (["_slice"] if bounds else [])
     per_value = rows.groupBy(*keys, "_v").agg(
-        F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in extra.items()]
+        F.count("_v").alias("n"), *[c.alias(name) for name, c in extra.items()]
     )
+    # Missing values count zero and are dropped after the windows: a filter up here
+    # would be pushed into the scan and compute a derived value a second time.
 
     def window(part):
         return Window.partitionBy(*(part or [F.lit(1)]))
@@ -66,7 +68,7 @@ def ranked_counts(
     if not bounds:
         return per_value.select(
             *out_cols, local.alias("below"), F.sum("n").over(window(by)).alias("total"), *extra
-        )
+        ).where("n > 0")
     along = window(by).orderBy("_slice").rowsBetween(*before)
     tags = [f"_k{i}" for i in range(len(keys))]
     slice_sums = (
@@ -82,7 +84,7 @@ def ranked_counts(
     same = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, tags)]
     return per_value.withColumn("_local", local).join(slice_sums, same, "inner").select(
         *out_cols, (F.col("_local") + F.col("_offset")).alias("below"), "total", *extra
-    )
+    ).where("n > 0")
 
 
 def average_rank() -> Column:

@@ -18,13 +18,20 @@ def longer(
     names_to: str = "item",
     values_to: str = "value",
 ) -> DataFrame:
-    """One row per key and item. Items are cast to a common type first."""
+    """One row per key and item. Items are cast to a common type first.
+
+    ``stack`` instead of ``unpivot``: two uses of the same long frame then share one
+    exchange, which the plan of ``unpivot`` hides from the planner.
+    """
     kinds = {df.schema[i].dataType.simpleString() for i in items}
+    cells = {i: F.col(quoted(i)) for i in items}
     if len(kinds) > 1:
         common = "double" if not any(k == "string" for k in kinds) else "string"
-        df = df.withColumns({i: F.col(quoted(i)).cast(common) for i in items})
-    return df.unpivot(
-        [F.col(quoted(k)) for k in keys], [F.col(quoted(i)) for i in items], names_to, values_to
+        cells = {i: c.cast(common) for i, c in cells.items()}
+    flat = [part for i, c in cells.items() for part in (F.lit(i), c)]
+    return df.select(
+        *[F.col(quoted(k)) for k in keys],
+        F.stack(F.lit(len(items)), *flat).alias(names_to, values_to),
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,13 +70,25 @@ class Scale:
 
 
 def add_scores(df: DataFrame, scales: Mapping[str, Scale]) -> DataFrame:
-    """Add one column per scale, and ``<name>_positive`` where it has a cut-off."""
-    cols = {}
-    for name, scale in scales.items():
-        cols[name] = scale.score()
-        if scale.cutoff is not None:
-            cols[f"{name}_positive"] = scale.positive()
-    return df.withColumns(cols)
+    """Add one column per scale, and ``<name>_positive`` where it has a cut-off.
+
+    Recoded items become columns first, so that a score which looks at an item
+    several times (its value, whether it is missing) does not recode it each time.
+    """
+    staged, plain = {}, {}
+    for n, (name, scale) in enumerate(scales.items()):
+        cols = {i: f"_item{n}_{k}" for k, i in enumerate(scale.items)}
+        staged |= {cols[i]: scale.item(i) for i in scale.items}
+        plain[name] = replace(
+            scale, items=list(cols.values()), answers=None, reversed=(), weights={}
+        )
+    df = df.withColumns(staged).withColumns({name: p.score() for name, p in plain.items()})
+    positive = {
+        f"{name}_positive": flag(F.col(quoted(name)) >= scale.cutoff)
+        for name, scale in scales.items()
+        if scale.cutoff is not None
+    }
+    return (df.withColumns(positive) if positive else df).drop(*staged)
 
 
 def add_missing_counts(df: DataFrame, counts: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -15,55 +15,62 @@ from pyspark.sql import types as T
 from ..functions import distributions as dist
 from ..functions.nulls import quoted
 from .ranks import average_rank, ranked_counts
-from .reshape import longer
-from .summary import level_counts, with_total
+from .summary import continuous_long, level_counts, moments_of, with_total
 
 NORMAL_975 = 1.959963984540054
 EXACT_CELLS = 64
 
 
-def _long(df: DataFrame, values: Sequence[str], by: str) -> DataFrame:
-    base = df.where(F.col(quoted(by)).isNotNull()).select(
-        F.col(quoted(by)).cast("string").alias("_by"),
-        *[F.col(quoted(v)).cast("double").alias(v) for v in values],
-    )
-    return longer(base, ["_by"], values, "variable", "value").where("value is not null")
-
-
 def t_test(df: DataFrame, values: Sequence[str], by: str, levels: tuple[str, str]) -> DataFrame:
     """Two-sample t-test with pooled variance, one row per value column."""
-    x = F.col("value")
+    return t_from_moments(moments_of(continuous_long(df, values, by, overall=False)), levels)
+
+
+def t_from_moments(moments: DataFrame, levels: tuple[str, str]) -> DataFrame:
+    """The t-test from counts, means and deviations per variable and group.
+
+    Other groups may be among the rows; conditions instead of a filter let the test
+    share the aggregate of a summary table.
+    """
     aggs = []
     for i, level in enumerate(levels, 1):
-        here = F.when(F.col("_by") == level, x)
+        here = F.col("group") == level
         aggs += [
-            F.count(here).alias(f"n{i}"),
-            F.avg(here).alias(f"mean{i}"),
-            F.var_samp(here).alias(f"_v{i}"),
+            F.coalesce(F.max(F.when(here, F.col("n"))), F.lit(0)).alias(f"n{i}"),
+            F.max(F.when(here, F.col("mean"))).alias(f"mean{i}"),
+            F.max(F.when(here, F.col("sd"))).alias(f"_s{i}"),
         ]
-    rows = _long(df, values, by).groupBy("variable").agg(*aggs)
+    rows = moments.groupBy("variable").agg(*aggs)
     n1, n2 = F.col("n1"), F.col("n2")
     freedom = n1 + n2 - 2
-    pooled = ((n1 - 1) * F.col("_v1") + (n2 - 1) * F.col("_v2")) / freedom
-    se = F.sqrt(pooled * (F.lit(1) / n1 + F.lit(1) / n2))
+    # One answer has no spread of its own but still counts in the comparison.
+    squares = [
+        F.when(F.col(f"n{i}") > 1, (F.col(f"n{i}") - 1) * F.col(f"_s{i}") ** 2).otherwise(0.0)
+        for i in (1, 2)
+    ]
+    known = (n1 > 0) & (n2 > 0) & (freedom > 0)
+    pooled = F.when(known, (squares[0] + squares[1]) / freedom)
+    se = F.when(known, F.sqrt(pooled * (F.lit(1) / n1 + F.lit(1) / n2)))
     out = rows.select(
         "variable", "n1", "n2", "mean1", "mean2",
         (F.col("mean1") - F.col("mean2")).alias("difference"),
         se.alias("se"),
         freedom.cast("double").alias("df"),
-    ).withColumn("statistic", F.col("difference") / F.col("se"))
+    ).withColumn("statistic", F.when(F.col("se") > 0, F.col("difference") / F.col("se")))
     return out.withColumn("p_value", dist.p_t("statistic", "df"))
 
 
 def contingency(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
-    """Observed cells with their row, column and table totals; rows with a
-    missing level or group are left out, as are their cells."""
-    cells = level_counts(
-        df.where(F.col(quoted(by)).isNotNull()), variables, by, overall=False
-    ).where(F.col("level").isNotNull())
-    cells = with_total(cells, ["variable", "level"], "n", "row_total")
-    cells = with_total(cells, ["variable", "group"], "n", "col_total")
-    return with_total(cells, ["variable"], "n", "table_total")
+    """Cells with their row, column and table totals, rows without a group left out.
+
+    Missing levels stay as null levels that count in no total. Dropping them with a
+    filter would give each total a scan of its own instead of one shared count.
+    """
+    cells = level_counts(df, variables, by)
+    cells = cells.withColumn("_n", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
+    cells = with_total(cells, ["variable", "level"], "_n", "row_total")
+    cells = with_total(cells, ["variable", "group"], "_n", "col_total")
+    return with_total(cells, ["variable"], "_n", "table_total").drop("_n")
 
 
 def chi_square(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
@@ -72,16 +79,18 @@ def chi_square(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
 
 
 def _chi_square(cells: DataFrame) -> DataFrame:
+    known = F.col("level").isNotNull()
     expected = F.col("row_total").cast("double") * F.col("col_total") / F.col("table_total")
+    filled = known & (F.col("col_total") > 0)
     parts = cells.groupBy("variable").agg(
         F.max("table_total").alias("n"),
-        F.sum((F.col("n") - expected) ** 2 / expected).alias("_seen"),
-        F.sum(expected).alias("_expected"),
-        F.count(F.lit(1)).alias("_cells"),
+        F.sum(F.when(known, (F.col("n") - expected) ** 2 / expected)).alias("_seen"),
+        F.sum(F.when(known, expected)).alias("_expected"),
+        F.count("level").alias("_cells"),
         F.countDistinct("level").alias("rows"),
-        F.countDistinct("group").alias("cols"),
-        F.min("row_total").alias("_r"),
-        F.min("col_total").alias("_c"),
+        F.countDistinct(F.when(filled, F.col("group"))).alias("cols"),
+        F.min(F.when(known, F.col("row_total"))).alias("_r"),
+        F.min(F.when(known, F.col("col_total"))).alias("_c"),
     )
     # Empty cells are not stored; each adds its expected count.
     empty = F.when(F.col("_cells") < F.col("rows") * F.col("cols"), F.col("n") - F.col("_expected"))
@@ -135,7 +144,11 @@ def categorical_test(
     exact = (
         cells.join(small, "variable", "left_semi")
         .groupBy("variable")
-        .agg(F.collect_list(F.struct("level", "group", "n")).alias("_t"))
+        .agg(
+            F.collect_list(
+                F.when(F.col("level").isNotNull(), F.struct("level", "group", "n"))
+            ).alias("_t")
+        )
         .select("variable", _fisher("_t.level", "_t.group", "_t.n").alias("_exact"))
     )
     few = F.col("min_expected") < exact_below
@@ -393,15 +406,21 @@ def group_tests(
     categorical: Sequence[str] = (),
     continuous: Sequence[str] = (),
     continuous_test: str = "t.test",
+    overall: bool = False,
 ) -> DataFrame:
-    """One p-value per variable of a grouped table: variable, test, p_value."""
+    """One p-value per variable of a grouped table: variable, test, p_value.
+
+    ``overall`` says that a table with an overall column stands next to the tests,
+    whose aggregate the t-test then uses.
+    """
     frames = []
     if categorical:
         frames.append(categorical_test(df, categorical, by).select("variable", "test", "p_value"))
     if continuous and continuous_test == "t.test":
         if len(levels) != 2:
             raise ValueError("a t-test needs two groups")
-        t = t_test(df, continuous, by, (levels[0], levels[1]))
+        moments = moments_of(continuous_long(df, continuous, by, overall))
+        t = t_from_moments(moments, (levels[0], levels[1]))
         frames.append(t.select("variable", F.lit("t-test").alias("test"), "p_value"))
     elif continuous:
         for v in continuous:
@@ -416,4 +435,3 @@ def group_tests(
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
-

@@ -32,40 +32,42 @@ def with_total(counts: DataFrame, keys: Sequence[str], n: str, name: str) -> Dat
     return counts.join(totals, same, "left").drop(*tags)
 
 
+def grouped(df: DataFrame, by: str | None, missing_group: str | None) -> tuple[DataFrame, Column]:
+    """Rows that have a group, and the group as text. Rows without one are left
+    out, unless ``missing_group`` names a group for them."""
+    if by is None:
+        return df, F.lit(OVERALL)
+    if missing_group is not None:
+        return df, name_missing(by, missing_group)
+    return df.where(F.col(quoted(by)).isNotNull()), F.col(quoted(by)).cast("string")
+
+
 def level_counts(
     df: DataFrame,
     variables: Sequence[str],
     by: str | None = None,
     strata: Sequence[str] = (),
-    overall: bool = True,
-    by_label: str = "Unknown",
+    missing_group: str | None = None,
+    drop_missing: bool = False,
 ) -> DataFrame:
-    """Rows per stratum, variable, group and level, missing levels included.
-
-    The overall column is added to the counted rows, not to the survey rows.
-    """
-    keys = list(strata) + ([by] if by else [])
-    text = df.select(
+    """Rows per stratum, variable, group and level; a missing level is a null level."""
+    rows, group = grouped(df, by, missing_group)
+    text = rows.select(
         *[F.col(quoted(k)) for k in strata],
-        *([name_missing(by, by_label).alias(by)] if by else []),
-        *[F.col(quoted(v)).cast("string").alias(v) for v in variables if v not in keys],
+        group.alias("group"),
+        *[F.col(quoted(v)).cast("string").alias(v) for v in variables],
     )
-    counts = (
-        longer(text, keys, [v for v in variables if v not in keys], "variable", "level")
-        .groupBy(*[quoted(k) for k in strata], "variable", *([quoted(by)] if by else []), "level")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if by is None:
-        return counts.withColumn("group", F.lit(OVERALL))
-    counts = counts.withColumnRenamed(by, "group")
-    if not overall:
-        return counts
-    everyone = (
-        counts.groupBy(*[quoted(k) for k in strata], "variable", "level")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("group", F.lit(OVERALL))
-    )
-    return counts.unionByName(everyone)
+    long = longer(text, [*strata, "group"], variables, "variable", "level")
+    if drop_missing:
+        long = long.where(F.col("level").isNotNull())
+    keys = [quoted(k) for k in strata]
+    return long.groupBy(*keys, "variable", "group", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_overall(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the group "Overall" to counted rows, so survey rows are read once."""
+    everyone = counts.groupBy(*[quoted(k) for k in keys]).agg(F.sum("n").alias("n"))
+    return counts.unionByName(everyone.withColumn("group", F.lit(OVERALL)))
 
 
 def categorical(
@@ -77,7 +79,8 @@ def categorical(
     missing: str = "row",
     labels: Mapping[str, str] | None = None,
     levels: Mapping[str, Sequence[str]] | None = None,
-    values: Mapping[str, str] | None = None,
+    values: Mapping[str, object] | None = None,
+    missing_group: str | None = None,
 ) -> DataFrame:
     """Count and percent of every level.
 
@@ -85,28 +88,37 @@ def categorical(
              "level" counts them as the level "Unknown", "no" drops them
     labels:  variable -> text; adds ``label``
     levels:  variable -> levels in order; adds ``level_rank``, null for others
-    values:  variable -> the one level to keep (dichotomous display)
+    values:  variable -> the one level to show (dichotomous display), shown even
+             where no one has it
 
     Columns: strata, variable, level, group, n, total (non-missing rows of that
     variable and group), percent.
     """
     if missing == "level":
         df = df.withColumns({v: name_missing(v) for v in variables})
-    counts = level_counts(df, variables, by, strata, overall)
+    counts = level_counts(df, variables, by, strata, missing_group, drop_missing=missing == "no")
+    if by and overall:
+        counts = with_overall(counts, [*strata, "variable", "level"])
     known = counts.withColumn("_known", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
     keys = [*strata, "variable", "group"]
+    if values:
+        # Regrouping instead of a filter: a filter on levels would reach the scan on
+        # one side of the join below and make it read the survey twice.
+        shown, hit = F.col("level"), F.lit(True)
+        for v, level in values.items():
+            mine = F.col("variable") == v
+            shown = F.when(mine, F.lit(str(level))).otherwise(shown)
+            hit = hit & (~mine | F.coalesce(F.col("level") == str(level), F.lit(False)))
+        known = (
+            known.withColumns({"_shown": shown, "n": F.when(hit, F.col("n")).otherwise(0)})
+            .groupBy(*[quoted(k) for k in keys], F.col("_shown").alias("level"))
+            .agg(F.sum("n").alias("n"), F.sum("_known").alias("_known"))
+        )
     out = with_total(known, keys, "_known", "total").drop("_known")
-    if missing == "no":
-        out = out.where(F.col("level").isNotNull())
     out = out.withColumn(
         "percent",
         F.when(F.col("level").isNotNull() & (F.col("total") > 0), F.col("n") * 100 / F.col("total")),
     )
-    if values:
-        keep = F.lit(False)
-        for v, level in values.items():
-            keep = keep | ((F.col("variable") == v) & (F.col("level") == str(level)))
-        out = out.where(~F.col("variable").isin(list(values)) | keep)
     if labels:
         out = out.withColumn("label", _lookup("variable", labels, F.col("variable")))
     if levels:
@@ -132,15 +144,16 @@ def dichotomous(
     by: str | None = None,
     overall: bool = True,
     strata: Sequence[str] = (),
+    missing_group: str | None = None,
 ) -> DataFrame:
     """Count and percent of one level per variable, zero counts included.
 
-    Conditional counts in one aggregate; groups where no one has the level still
-    get a row, unlike in a filtered table of levels.
+    Conditional counts in one aggregate, without turning the survey long.
     """
     keys = [quoted(k) for k in strata]
-    group = name_missing(by).alias("group") if by else F.lit(OVERALL).alias("group")
-    base = df.select(*keys, group, *[F.col(quoted(v)).cast("string").alias(v) for v in values])
+    rows, group = grouped(df, by, missing_group)
+    cells = [F.col(quoted(v)).cast("string").alias(v) for v in values]
+    base = rows.select(*keys, group.alias("group"), *cells)
     sums = base.groupBy(*keys, "group").agg(
         *[F.count_if(F.col(quoted(v)) == str(x)).alias(f"{v}§n") for v, x in values.items()],
         *[F.count(F.col(quoted(v))).alias(f"{v}§total") for v in values],
@@ -173,6 +186,34 @@ def dichotomous(
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
+def continuous_long(
+    df: DataFrame,
+    variables: Sequence[str],
+    by: str | None = None,
+    overall: bool = True,
+    missing_group: str | None = None,
+) -> DataFrame:
+    """Group, variable and value, every row once more under "Overall" if asked."""
+    rows, group = grouped(df, by, missing_group)
+    cells = [F.col(quoted(v)).cast("double").alias(v) for v in variables]
+    long = longer(rows.select(group.alias("group"), *cells), ["group"], variables, "variable", "value")
+    if by and overall:
+        both = F.explode(F.array(F.col("group"), F.lit(OVERALL))).alias("group")
+        long = long.select(both, "variable", "value")
+    return long
+
+
+def moments_of(long: DataFrame) -> DataFrame:
+    return long.groupBy("variable", "group").agg(
+        F.count("value").alias("n"),
+        (F.count(F.lit(1)) - F.count("value")).alias("n_missing"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("sd"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+
+
 def continuous(
     df: DataFrame,
     variables: Sequence[str],
@@ -182,27 +223,16 @@ def continuous(
     kind: int = 2,
     few_values: bool = False,
     digits: int = 1,
+    missing_group: str | None = None,
 ) -> DataFrame:
     """Count, missing, mean, sd, min, max and exact quartiles of every variable.
 
     ``template`` adds ``stat``, e.g. ``"{mean} ({sd}); [{min}, {median}, {max}]"``.
     Quartiles are only computed when there is no template or it asks for them.
     """
-    group = name_missing(by).alias("group") if by else F.lit(OVERALL).alias("group")
-    base = df.select(group, *[F.col(quoted(v)).cast("double").alias(v) for v in variables])
-    long = longer(base, ["group"], variables, "variable", "value")
-    if by and overall:
-        both = F.explode(F.array(F.col("group"), F.lit(OVERALL))).alias("group")
-        long = long.select(both, "variable", "value")
+    long = continuous_long(df, variables, by, overall, missing_group)
     keys = ["variable", "group"]
-    moments = long.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        (F.count(F.lit(1)) - F.count("value")).alias("n_missing"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    moments = moments_of(long)
     wanted = {
         k: p for k, p in QUARTILES.items() if template is None or "{" + k + "}" in template
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cohort import large_groups
 from ..operators.stats import group_tests
-from ..operators.summary import categorical, continuous, dichotomous
+from ..operators.summary import categorical, continuous
 
 
 @dataclass(frozen=True)
@@ -64,11 +64,10 @@ def run(
     layout = ["variable", "level", "group", "n", "total", "percent", "stat"]
     no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
     parts = []
-    if report.categorical:
-        table = categorical(df, report.categorical, by=rule.column)
-        parts.append(table.withColumn("stat", no_text).select(*layout))
-    if report.dichotomous:
-        table = dichotomous(df, report.dichotomous, by=rule.column)
+    coded = [*report.categorical, *report.dichotomous]
+    if coded:
+        # One count of all levels serves the table and, below, the tests.
+        table = categorical(df, coded, by=rule.column, values=report.dichotomous)
         parts.append(table.withColumn("stat", no_text).select(*layout))
     if report.continuous:
         table = continuous(
@@ -88,8 +87,9 @@ def run(
         df,
         rule.column,
         list(report.levels),
-        [*report.categorical, *report.dichotomous],
+        coded,
         report.continuous,
         rule.continuous_test,
+        overall=True,
     )
     return out.join(tests, "variable", "left")
