@@ -11,12 +11,9 @@ from ..plans import patient, records, staff
 from .registry import query
 from .standins import CLIMATE, CULTURE, cte, table, view
 
-N = F.count(F.lit(1)).alias("n")
-
-
 def tally(df, *cols):
     """Rows per combination, so a whole-table recode returns a short table."""
-    return df.groupBy(*cols).agg(N)
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -514,7 +514,7 @@ REPORT = report.Report(
     continuous=["months_symps"],
     template="{mean} ({sd}); [{min}, {median}, {max}]",
     levels=["MDC", "PCC"],
-    digits=3,
+    digits=6,
 )
 
 
@@ -528,11 +528,11 @@ def _report_check(column, where):
       ROUND(COUNT(*) FILTER (lcdiagnosis = 'Yes') * 100 / NULLIF(COUNT(lcdiagnosis), 0), 6), NULL
       FROM g GROUP BY "group"
     UNION ALL SELECT 'months_symps', NULL, "group", COUNT(months_symps), COUNT(months_symps), NULL,
-      COALESCE(FORMAT('{{:,.3f}}', ROUND(AVG(months_symps), 3)), 'NA') || ' (' ||
-      COALESCE(FORMAT('{{:,.3f}}', ROUND(STDDEV_SAMP(months_symps), 3)), 'NA') || '); [' ||
-      COALESCE(FORMAT('{{:,.3f}}', ROUND(MIN(months_symps), 3)), 'NA') || ', ' ||
-      COALESCE(FORMAT('{{:,.3f}}', ROUND(MEDIAN(months_symps), 3)), 'NA') || ', ' ||
-      COALESCE(FORMAT('{{:,.3f}}', ROUND(MAX(months_symps), 3)), 'NA') || ']'
+      COALESCE(FORMAT('{{:,.6f}}', ROUND(AVG(months_symps), 6)), 'NA') || ' (' ||
+      COALESCE(FORMAT('{{:,.6f}}', ROUND(STDDEV_SAMP(months_symps), 6)), 'NA') || '); [' ||
+      COALESCE(FORMAT('{{:,.6f}}', ROUND(MIN(months_symps), 6)), 'NA') || ', ' ||
+      COALESCE(FORMAT('{{:,.6f}}', ROUND(MEDIAN(months_symps), 6)), 'NA') || ', ' ||
+      COALESCE(FORMAT('{{:,.6f}}', ROUND(MAX(months_symps), 6)), 'NA') || ']'
       FROM g GROUP BY "group" """
 
 

@@ -64,7 +64,7 @@ def set_band(c: Column | str, groups: Mapping[str, Sequence], default=None) -> C
 
 def flag(cond: Column) -> Column:
     """1 / 0, missing when the condition is missing."""
-    return if_else(cond, 1, 0)
+    return cond.cast("int")
 
 
 def checked(c: Column | str, word: str = "Checked") -> Column:

@@ -48,15 +48,18 @@ def first_row(
     """First row of each group by an explicit order.
 
     An aggregate instead of a row number: every task sends on one candidate row
-    per group, however many rows a group has.
+    per group, however many rows a group has. Ties in ``order`` go by the columns.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(quoted(o)) for o in order])
-    row = F.struct(*[F.col(quoted(c)) for c in cols])
+    rank = [F.col(quoted(o)).alias(f"_o{i}") for i, o in enumerate(order)]
+    row = F.struct(*rank, *[F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(cols)])
     return (
         df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.min_by(row, rank).alias("_row"))
-        .select(*[quoted(k) for k in keys], *[F.col("_row")[c].alias(c) for c in cols])
+        .agg(F.min(row).alias("_row"))
+        .select(
+            *[quoted(k) for k in keys],
+            *[F.col("_row")[f"_c{i}"].alias(c) for i, c in enumerate(cols)],
+        )
     )
 
 
@@ -68,13 +71,13 @@ def record_first(
     Equals filling up and then down within the record and keeping the first row,
     as one aggregate without a window.
     """
-    rank = F.struct(*[F.col(quoted(o)) for o in order])
-    return df.groupBy(quoted(key)).agg(
-        *[
-            F.min_by(F.col(quoted(c)), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(c)
-            for c in cols
-        ]
-    )
+    rank = [F.col(quoted(o)).alias(f"_o{i}") for i, o in enumerate(order)]
+
+    def first_known(c):
+        known = F.col(quoted(c)).isNotNull()
+        return F.min(F.when(known, F.struct(*rank, F.col(quoted(c)).alias("_c"))))["_c"]
+
+    return df.groupBy(quoted(key)).agg(*[first_known(c).alias(c) for c in cols])
 
 
 def last_completed(

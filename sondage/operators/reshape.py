@@ -69,12 +69,26 @@ def answers_wide(
     """Question / answer rows to one column per question, blanks in names to ``_``.
 
     A key that answers a question twice keeps its first or last answer by
-    ``order``; without an order, the smallest or largest answer.
+    ``order``, and by answer where that ties. Keys without any of the questions keep
+    a row.
+
+    Two steps: one answer per key and question, where repeats are combined before
+    the shuffle, then at most one entry per listed question is put together.
     """
-    rank = F.struct(*[F.col(quoted(o)) for o in order]) if order else F.col(quoted(answer))
-    take = {"first": F.min_by, "last": F.max_by}[pick]
-    tidy = {q: q.replace(" ", "_") for q in questions}
-    return wider(df, keys, question, questions, take(F.col(quoted(answer)), rank), rename=tidy)
+    rank = [F.col(quoted(o)).alias(f"_o{i}") for i, o in enumerate(order)]
+    take = {"first": F.min, "last": F.max}[pick]
+    ranked = F.struct(*rank, F.col(quoted(answer)).alias("_a"))
+    by = [quoted(k) for k in keys]
+    asked = F.col(quoted(question))
+    one = df.groupBy(
+        *by, F.when(asked.isin(list(questions)), asked).alias("_question")
+    ).agg(take(ranked)["_a"].alias("_answer"))
+    entry = F.when(F.col("_question").isNotNull(), F.struct("_question", "_answer"))
+    person = one.groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias("_answers"))
+    return person.select(
+        *by,
+        *[F.try_element_at("_answers", F.lit(q)).alias(q.replace(" ", "_")) for q in questions],
+    )
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

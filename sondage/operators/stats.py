@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions import distributions as dist
 from ..functions.nulls import quoted
 from .ranks import average_rank, ranked_counts
-from .summary import continuous_long, level_counts, moments_of, with_total
+from .summary import continuous_long, level_counts, moments_of, with_total, with_totals
 
 NORMAL_975 = 1.959963984540054
 EXACT_CELLS = 64
@@ -68,14 +68,16 @@ def contingency(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
     """
     cells = level_counts(df, variables, by)
     cells = cells.withColumn("_n", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
+    cells = cells.withColumn("_one", F.col("level").isNotNull().cast("int"))
     cells = with_total(cells, ["variable", "level"], "_n", "row_total")
     cells = with_total(cells, ["variable", "group"], "_n", "col_total")
-    return with_total(cells, ["variable"], "_n", "table_total").drop("_n")
+    whole = {"table_total": "_n", "table_cells": "_one"}
+    return with_totals(cells, ["variable"], whole).drop("_n", "_one")
 
 
 def chi_square(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
     """Pearson chi-square without correction, one row per variable."""
-    return _chi_square(contingency(df, variables, by))
+    return _chi_square(contingency(df, variables, by)).drop("table")
 
 
 def _chi_square(cells: DataFrame) -> DataFrame:
@@ -91,6 +93,10 @@ def _chi_square(cells: DataFrame) -> DataFrame:
         F.countDistinct(F.when(filled, F.col("group"))).alias("cols"),
         F.min(F.when(known, F.col("row_total"))).alias("_r"),
         F.min(F.when(known, F.col("col_total"))).alias("_c"),
+        # Only a table that an exact test could take on is gathered.
+        F.collect_list(
+            F.when(known & (F.col("table_cells") <= EXACT_CELLS), F.struct("level", "group", "n"))
+        ).alias("table"),
     )
     # Empty cells are not stored; each adds its expected count.
     empty = F.when(F.col("_cells") < F.col("rows") * F.col("cols"), F.col("n") - F.col("_expected"))
@@ -102,6 +108,7 @@ def _chi_square(cells: DataFrame) -> DataFrame:
         (F.col("_seen") + F.coalesce(empty, F.lit(0.0))).alias("statistic"),
         ((F.col("rows") - 1) * (F.col("cols") - 1)).cast("double").alias("df"),
         (F.col("_r").cast("double") * F.col("_c") / F.col("n")).alias("min_expected"),
+        "table",
     )
     return out.withColumn(
         "p_value", dist.p_chi2("statistic", F.when(F.col("df") > 0, F.col("df")))
@@ -112,6 +119,9 @@ def _chi_square(cells: DataFrame) -> DataFrame:
 def _fisher(rows: pd.Series, cols: pd.Series, counts: pd.Series) -> pd.Series:
     out = []
     for r, c, n in zip(rows, cols, counts):
+        if r is None:
+            out.append(None)
+            continue
         ri, rn = np.unique(np.asarray(r, dtype=str), return_inverse=True)
         ci, cn = np.unique(np.asarray(c, dtype=str), return_inverse=True)
         table = np.zeros((len(ri), len(ci)), dtype=np.int64)
@@ -132,27 +142,15 @@ def categorical_test(
     """Chi-square, or Fisher's exact test where an expected count is small.
 
     A table too large to enumerate keeps the chi-square result and says so in
-    ``test``. Only tables of up to ``EXACT_CELLS`` cells are gathered for it.
+    ``test``; only tables of up to ``EXACT_CELLS`` cells are gathered for the exact one.
     """
-    cells = contingency(df, variables, by)
-    chi = _chi_square(cells)
-    small = chi.where(
-        (F.col("min_expected") < exact_below)
-        & (F.col("rows") * F.col("cols") <= EXACT_CELLS)
-        & (F.col("df") > 0)
-    ).select("variable")
-    exact = (
-        cells.join(small, "variable", "left_semi")
-        .groupBy("variable")
-        .agg(
-            F.collect_list(
-                F.when(F.col("level").isNotNull(), F.struct("level", "group", "n"))
-            ).alias("_t")
-        )
-        .select("variable", _fisher("_t.level", "_t.group", "_t.n").alias("_exact"))
-    )
+    chi = _chi_square(contingency(df, variables, by))
     few = F.col("min_expected") < exact_below
-    return chi.join(exact, "variable", "left").select(
+    table = F.when(few & (F.col("df") > 0) & (F.size("table") > 0), F.col("table"))
+    chi = chi.withColumn("_small", table).withColumn(
+        "_exact", _fisher("_small.level", "_small.group", "_small.n")
+    )
+    return chi.select(
         "variable",
         "n",
         F.when(~few, "chi-square")

@@ -20,18 +20,26 @@ from .reshape import longer
 OVERALL = "Overall"
 
 
-def with_total(counts: DataFrame, keys: Sequence[str], n: str, name: str) -> DataFrame:
-    """Add the sum of ``n`` per key to a table of counts.
+def with_totals(
+    counts: DataFrame, keys: Sequence[str], sums: Mapping[str, str]
+) -> DataFrame:
+    """Add sums per key to a table of counts; ``sums`` maps a new name to a column.
 
     A grouped sum joined back, not a window: a key may own any number of levels.
     """
     tags = [f"_t{i}" for i in range(len(keys))]
-    totals = counts.groupBy(*[quoted(k) for k in keys]).agg(F.sum(n).alias(name))
-    totals = totals.toDF(*tags, name)
+    totals = counts.groupBy(*[quoted(k) for k in keys]).agg(
+        *[F.sum(c).alias(name) for name, c in sums.items()]
+    )
+    totals = totals.toDF(*tags, *sums)
     same = [F.col(quoted(k)).eqNullSafe(F.col(t)) for k, t in zip(keys, tags)]
     return counts.join(totals, same, "left").drop(*tags)
 
 
+def with_total(counts: DataFrame, keys: Sequence[str], n: str, name: str) -> DataFrame:
+    return with_totals(counts, keys, {name: n})
+
+
 def grouped(df: DataFrame, by: str | None, missing_group: str | None) -> tuple[DataFrame, Column]:
     """Rows that have a group, and the group as text. Rows without one are left
     out, unless ``missing_group`` names a group for them."""
@@ -196,11 +204,13 @@ def continuous_long(
     """Group, variable and value, every row once more under "Overall" if asked."""
     rows, group = grouped(df, by, missing_group)
     cells = [F.col(quoted(v)).cast("double").alias(v) for v in variables]
-    long = longer(rows.select(group.alias("group"), *cells), ["group"], variables, "variable", "value")
-    if by and overall:
-        both = F.explode(F.array(F.col("group"), F.lit(OVERALL))).alias("group")
-        long = long.select(both, "variable", "value")
-    return long
+    groups = [F.col("group")] + ([F.lit(OVERALL)] if by and overall else [])
+    flat = [
+        part for v in variables for g in groups for part in (F.lit(v), g, F.col(quoted(v)))
+    ]
+    return rows.select(group.alias("group"), *cells).select(
+        F.stack(F.lit(len(variables) * len(groups)), *flat).alias("variable", "group", "value")
+    )
 
 
 def moments_of(long: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions.nulls import detects, is_in, matches, missing_count, quoted, row_sum
+from ..functions.nulls import is_in, matches, missing_count, quoted, row_sum
 from ..functions.recode import (
     after_dash,
     band,
@@ -196,7 +196,7 @@ def symptoms(df: DataFrame) -> DataFrame:
         tail = name.removeprefix("ps_")
         merged[name] = F.coalesce(name, f"ps2_{tail}", f"ps_{tail}_t5")
     df = df.withColumns(merged).withColumn("_gate", gate)
-    yes = {f"_y_{n}": flag(detects(n, "Yes")) for n in fixed.SYMPTOM_WEIGHTS}
+    yes = {f"_y_{n}": flag(F.col(n).contains("Yes")) for n in fixed.SYMPTOM_WEIGHTS}
     scale = Scale(
         items=list(yes),
         how="sum",
@@ -224,9 +224,13 @@ def severity_means(raw: DataFrame, prefix: str = "ps_") -> DataFrame:
         return value if name.endswith("_burden") else value + 1
 
     long = longer(df.select(*[ready(i).alias(i) for i in items]), [], items, "name", "value")
-    symptom = F.regexp_replace("name", r"_[^_]*$", "").alias("symptom")
-    dimension = F.regexp_extract("name", r"[^_]*$", 0).alias("dimension")
-    return long.groupBy(symptom, dimension).agg(F.avg("value").alias("mean"))
+    # Names are taken apart on the few grouped rows, not on every answer.
+    means = long.groupBy("name").agg(F.avg("value").alias("mean"))
+    return means.select(
+        F.regexp_replace("name", r"_[^_]*$", "").alias("symptom"),
+        F.regexp_extract("name", r"[^_]*$", 0).alias("dimension"),
+        "mean",
+    )
 
 
 UNDERSTANDING_ITEMS = ("serious", "consequences", "talk")
