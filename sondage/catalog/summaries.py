@@ -410,6 +410,32 @@ def free_text_of_documents(spark, sf_dir):
     return texts.groupBy("lang", "copies").agg(F.count(F.lit(1)).alias("texts"))
 
 
+@query(
+    "free_text_of_several_columns",
+    """WITH t AS (SELECT 'p_name' AS variable, p_name AS level FROM part WHERE p_size > 25
+      UNION ALL SELECT 'p_type', p_type FROM part WHERE p_size <= 25),
+      c AS (SELECT variable, level, COUNT(*) AS n FROM t GROUP BY ALL)
+    SELECT *, CAST(SUM(n) OVER (PARTITION BY variable) AS BIGINT) AS total,
+      ROUND(n * 100 / SUM(n) OVER (PARTITION BY variable), 6) AS percent FROM c""",
+)
+def free_text_of_several_columns(spark, sf_dir):
+    out = summary.frequencies(
+        table(spark, sf_dir, "part"),
+        {"p_name": F.col("p_size") > 25, "p_type": F.col("p_size") <= 25},
+    )
+    return rounded(out).select("variable", "level", "n", "total", "percent")
+
+
+@query(
+    "group_headers",
+    """WITH g AS (SELECT o_orderpriority AS "group", COUNT(*) AS n FROM orders GROUP BY 1
+      UNION ALL SELECT 'Overall', COUNT(*) FROM orders)
+    SELECT "group", n, "group" || ', N = ' || FORMAT('{:,}', n) AS header FROM g""",
+)
+def group_headers(spark, sf_dir):
+    return summary.group_sizes(table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
 _DECILES = ", ".join(f"ROUND(QUANTILE_CONT(v, {i / 10}), 4) AS p{i * 10}" for i in range(11))
 
 
@@ -518,7 +544,7 @@ REPORT = report.Report(
 )
 
 
-def _report_check(column, where):
+def report_check(column, where):
     """The report rows without test results, which have checks of their own."""
     return f"""WITH {cte('patient')}, f AS (SELECT * FROM patient WHERE {where}),
       g AS (SELECT {column} AS "group", * FROM f UNION ALL SELECT 'Overall', * FROM f),
@@ -546,11 +572,10 @@ def _report(by_variable):
 
 query(
     "report_by_clinic",
-    _report_check(
+    report_check(
         "site_name",
         "timepoint = 1 AND site_name IN (SELECT site_name FROM patient WHERE timepoint = 1 "
         "GROUP BY site_name HAVING COUNT(*) >= 5)",
     ),
 )(_report("by_clinic"))
-query("report_by_site_type", _report_check("site_type", "timepoint = 1"))(_report("by_site_type"))
-query("report_by_timepoint", _report_check("redcap_event_name", "TRUE"))(_report("by_timepoint"))
+query("report_by_timepoint", report_check("redcap_event_name", "TRUE"))(_report("by_timepoint"))

@@ -13,7 +13,7 @@ from ..plans import patient, records, report
 from .registry import query
 from .scores import DOMAINS_CTE, person_domains
 from .standins import cte, table, view, visits, visits_cte
-from .summaries import REPORT, rounded
+from .summaries import REPORT, report_check, rounded
 
 PI = "3.141592653589793"
 
@@ -343,16 +343,16 @@ def understanding_contrast_of_forms(spark, sf_dir):
 _SITE = cte("patient") + ", f AS (SELECT * FROM patient WHERE timepoint = 1)"
 
 
-@query(
-    "report_p_values",
-    f"""WITH {_SITE}, c AS ({chi_parts('f', 'patient_gender', 'site_type')} UNION ALL
+_P_VALUES = f"""WITH {_SITE}, c AS ({chi_parts('f', 'patient_gender', 'site_type')} UNION ALL
         {chi_parts('f', 'patient_ethn', 'site_type')} UNION ALL {chi_parts('f', 'lcdiagnosis', 'site_type')}),
       o AS (SELECT site_type AS g, months_symps AS v FROM f), m AS ({_T.format(a='MDC', b='PCC', t='o')}),
       s AS (SELECT *, {_T_REST} FROM m)
     SELECT variable, 'chi-square' AS test, ROUND(CASE WHEN df = 1 THEN {chi2_sql('x', 1)}
       ELSE {chi2_sql('x', 4)} END, 6) AS p_value FROM c
-    UNION ALL SELECT 'months_symps', 't-test', ROUND({t_sql('difference / se', 'df')}, 6) FROM s""",
-)
+    UNION ALL SELECT 'months_symps', 't-test', ROUND({t_sql('difference / se', 'df')}, 6) FROM s"""
+
+
+@query("report_p_values", _P_VALUES)
 def report_p_values(spark, sf_dir):
     first = view(spark, sf_dir, "patient").where("timepoint = 1")
     rule = report.RULES["by_site_type"]
@@ -363,6 +363,16 @@ def report_p_values(spark, sf_dir):
     return rounded(out, 6, ("p_value",))
 
 
+@query(
+    "report_by_site_type",
+    f"""SELECT r.*, test, p_value FROM ({report_check('site_type', 'timepoint = 1')}) r
+    LEFT JOIN ({_P_VALUES}) p USING (variable)""",
+)
+def report_by_site_type(spark, sf_dir):
+    out = report.run(view(spark, sf_dir, "patient"), REPORT, "by_site_type")
+    return rounded(out, 6, ("percent", "p_value"))
+
+
 @query(
     "need_domain_tests",
     f"""WITH {DOMAINS_CTE}, j AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS grp, d.*

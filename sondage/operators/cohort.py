@@ -108,7 +108,8 @@ def large_groups(df: DataFrame, group: str, at_least: int) -> DataFrame:
 
 def until(df: DataFrame, date: str, last_day: str) -> DataFrame:
     """Rows dated on or before a day; undated rows are dropped."""
-    return df.where(F.to_date(F.col(quoted(date))) <= F.lit(last_day).cast("date"))
+    day = F.col(quoted(date)).try_cast("date")
+    return df.where(day <= F.lit(last_day).cast("date"))
 
 
 def visit_status(

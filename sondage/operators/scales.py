@@ -103,9 +103,9 @@ def look_up(
     No hint is given: a table of a few score values falls under the session's
     broadcast threshold by its measured size, and a larger one is shuffled.
     """
-    entries = table.select(
-        F.col(quoted(key)).alias("_key"), F.col(quoted(value)).alias(name)
-    ).dropDuplicates(["_key"])
+    entries = table.groupBy(F.col(quoted(key)).alias("_key")).agg(
+        F.min(F.col(quoted(value))).alias(name)
+    )
     return df.join(entries, F.col(quoted(on)) == F.col("_key"), "left").drop("_key")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions import distributions as dist
 from ..functions.nulls import quoted
 from .ranks import average_rank, ranked_counts
-from .summary import continuous_long, level_counts, moments_of, with_total, with_totals
+from .summary import continuous_long, level_counts, moments_of, with_totals
 
 NORMAL_975 = 1.959963984540054
 EXACT_CELLS = 64
@@ -23,15 +23,7 @@ EXACT_CELLS = 64
 
 def t_test(df: DataFrame, values: Sequence[str], by: str, levels: tuple[str, str]) -> DataFrame:
     """Two-sample t-test with pooled variance, one row per value column."""
-    return t_from_moments(moments_of(continuous_long(df, values, by, overall=False)), levels)
-
-
-def t_from_moments(moments: DataFrame, levels: tuple[str, str]) -> DataFrame:
-    """The t-test from counts, means and deviations per variable and group.
-
-    Other groups may be among the rows; conditions instead of a filter let the test
-    share the aggregate of a summary table.
-    """
+    moments = moments_of(continuous_long(df, values, by, overall=False))
     aggs = []
     for i, level in enumerate(levels, 1):
         here = F.col("group") == level
@@ -60,24 +52,26 @@ def t_from_moments(moments: DataFrame, levels: tuple[str, str]) -> DataFrame:
     return out.withColumn("p_value", dist.p_t("statistic", "df"))
 
 
-def contingency(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
-    """Cells with their row, column and table totals, rows without a group left out.
+def contingency(counts: DataFrame) -> DataFrame:
+    """Cells of :func:`level_counts` with their row, column and table totals.
 
     Missing levels stay as null levels that count in no total. Dropping them with a
     filter would give each total a scan of its own instead of one shared count.
     """
-    cells = level_counts(df, variables, by)
-    cells = cells.withColumn("_n", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
+    cells = counts.withColumn("_n", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
     cells = cells.withColumn("_one", F.col("level").isNotNull().cast("int"))
-    cells = with_total(cells, ["variable", "level"], "_n", "row_total")
-    cells = with_total(cells, ["variable", "group"], "_n", "col_total")
-    whole = {"table_total": "_n", "table_cells": "_one"}
-    return with_totals(cells, ["variable"], whole).drop("_n", "_one")
+    cells = with_totals(
+        cells,
+        (["variable", "level"], {"row_total": "_n"}),
+        (["variable", "group"], {"col_total": "_n"}),
+        (["variable"], {"table_total": "_n", "table_cells": "_one"}),
+    )
+    return cells.drop("_n", "_one")
 
 
 def chi_square(df: DataFrame, variables: Sequence[str], by: str) -> DataFrame:
     """Pearson chi-square without correction, one row per variable."""
-    return _chi_square(contingency(df, variables, by)).drop("table")
+    return _chi_square(contingency(level_counts(df, variables, by))).drop("table")
 
 
 def _chi_square(cells: DataFrame) -> DataFrame:
@@ -137,14 +131,18 @@ def _fisher(rows: pd.Series, cols: pd.Series, counts: pd.Series) -> pd.Series:
 
 
 def categorical_test(
-    df: DataFrame, variables: Sequence[str], by: str, exact_below: float = 5
+    df: DataFrame,
+    variables: Sequence[str],
+    by: str,
+    exact_below: float = 5,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Chi-square, or Fisher's exact test where an expected count is small.
 
     A table too large to enumerate keeps the chi-square result and says so in
     ``test``; only tables of up to ``EXACT_CELLS`` cells are gathered for the exact one.
     """
-    chi = _chi_square(contingency(df, variables, by))
+    chi = _chi_square(contingency(level_counts(df, variables, by) if counts is None else counts))
     few = F.col("min_expected") < exact_below
     table = F.when(few & (F.col("df") > 0) & (F.size("table") > 0), F.col("table"))
     chi = chi.withColumn("_small", table).withColumn(
@@ -404,21 +402,20 @@ def group_tests(
     categorical: Sequence[str] = (),
     continuous: Sequence[str] = (),
     continuous_test: str = "t.test",
-    overall: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """One p-value per variable of a grouped table: variable, test, p_value.
 
-    ``overall`` says that a table with an overall column stands next to the tests,
-    whose aggregate the t-test then uses.
+    ``counts`` are the level counts of the categorical variables, if known already.
     """
     frames = []
     if categorical:
-        frames.append(categorical_test(df, categorical, by).select("variable", "test", "p_value"))
+        coded = categorical_test(df, categorical, by, counts=counts)
+        frames.append(coded.select("variable", "test", "p_value"))
     if continuous and continuous_test == "t.test":
         if len(levels) != 2:
             raise ValueError("a t-test needs two groups")
-        moments = moments_of(continuous_long(df, continuous, by, overall))
-        t = t_from_moments(moments, (levels[0], levels[1]))
+        t = t_test(df, continuous, by, (levels[0], levels[1]))
         frames.append(t.select("variable", F.lit("t-test").alias("test"), "p_value"))
     elif continuous:
         for v in continuous:

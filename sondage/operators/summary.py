@@ -21,23 +21,28 @@ OVERALL = "Overall"
 
 
 def with_totals(
-    counts: DataFrame, keys: Sequence[str], sums: Mapping[str, str]
+    counts: DataFrame, *totals: tuple[Sequence[str], Mapping[str, str]]
 ) -> DataFrame:
-    """Add sums per key to a table of counts; ``sums`` maps a new name to a column.
+    """Add sums per key to a table of counts.
 
-    A grouped sum joined back, not a window: a key may own any number of levels.
+    Each total is a pair of keys and {new name: summed column}. All are summed from
+    ``counts`` itself, so that they share its exchange, and joined back. A join and
+    not a window: a key may own any number of levels.
     """
-    tags = [f"_t{i}" for i in range(len(keys))]
-    totals = counts.groupBy(*[quoted(k) for k in keys]).agg(
-        *[F.sum(c).alias(name) for name, c in sums.items()]
-    )
-    totals = totals.toDF(*tags, *sums)
-    same = [F.col(quoted(k)).eqNullSafe(F.col(t)) for k, t in zip(keys, tags)]
-    return counts.join(totals, same, "left").drop(*tags)
+    out = counts
+    for keys, sums in totals:
+        tags = [f"_t{i}" for i in range(len(keys))]
+        added = counts.groupBy(*[quoted(k) for k in keys]).agg(
+            *[F.sum(c).alias(name) for name, c in sums.items()]
+        )
+        added = added.toDF(*tags, *sums)
+        same = [F.col(quoted(k)).eqNullSafe(F.col(t)) for k, t in zip(keys, tags)]
+        out = out.join(added, same, "left").drop(*tags)
+    return out
 
 
 def with_total(counts: DataFrame, keys: Sequence[str], n: str, name: str) -> DataFrame:
-    return with_totals(counts, keys, {name: n})
+    return with_totals(counts, (keys, {name: n}))
 
 
 def grouped(df: DataFrame, by: str | None, missing_group: str | None) -> tuple[DataFrame, Column]:
@@ -89,6 +94,7 @@ def categorical(
     levels: Mapping[str, Sequence[str]] | None = None,
     values: Mapping[str, object] | None = None,
     missing_group: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Count and percent of every level.
 
@@ -104,7 +110,8 @@ def categorical(
     """
     if missing == "level":
         df = df.withColumns({v: name_missing(v) for v in variables})
-    counts = level_counts(df, variables, by, strata, missing_group, drop_missing=missing == "no")
+    if counts is None:
+        counts = level_counts(df, variables, by, strata, missing_group, missing == "no")
     if by and overall:
         counts = with_overall(counts, [*strata, "variable", "level"])
     known = counts.withColumn("_known", F.when(F.col("level").isNotNull(), F.col("n")).otherwise(0))
@@ -385,18 +392,39 @@ def group_means(
 
 def frequency(df: DataFrame, text: str, where: Column | None = None) -> DataFrame:
     """Counts of the given texts among the selected rows, missing texts dropped."""
-    rows = df if where is None else df.where(where)
+    return frequencies(df, {text: where})
+
+
+def frequencies(df: DataFrame, texts: Mapping[str, Column | None]) -> DataFrame:
+    """Counts of several free-text columns at once, each among its own rows."""
+    cells = {
+        t: F.col(quoted(t)) if cond is None else F.when(cond, F.col(quoted(t)))
+        for t, cond in texts.items()
+    }
+    long = longer(df.select(*[c.alias(t) for t, c in cells.items()]), [], list(texts),
+                  "variable", "level")
     counts = (
-        rows.where(F.col(quoted(text)).isNotNull())
-        .groupBy(F.col(quoted(text)).alias("level"))
+        long.where(F.col("level").isNotNull())
+        .groupBy("variable", "level")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("variable", F.lit(text))
     )
     return with_total(counts, ["variable"], "n", "total").withColumn(
         "percent", F.col("n") * 100 / F.col("total")
     )
 
 
+def group_sizes(
+    df: DataFrame, by: str, overall: bool = True, missing_group: str | None = None
+) -> DataFrame:
+    """Rows per group, with a column heading of the form ``level, N = 1,234``."""
+    rows, group = grouped(df, by, missing_group)
+    sizes = rows.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("n"))
+    if overall:
+        whole = sizes.agg(F.sum("n").alias("n")).where("n is not null")
+        sizes = sizes.unionByName(whole.withColumn("group", F.lit(OVERALL)))
+    return sizes.withColumn("header", F.concat("group", F.lit(", N = "), F.format_number("n", 0)))
+
+
 def mean_of_monthly_counts(df: DataFrame, stamp: str) -> DataFrame:
     """Mean number of dated rows per calendar month that has any."""
     monthly = (

@@ -31,6 +31,7 @@ from ..operators.columns import across, ending, leave_out, rename, starting
 from ..operators.fill import fill_within
 from ..operators.reshape import longer
 from ..operators.scales import Scale, add_scores, look_up
+from ..operators.summary import frequencies
 
 RECORD, EVENT, VISIT = "record_id", "redcap_event_name", "timepoint"
 ORDER = "_event_order"
@@ -233,6 +234,19 @@ def severity_means(raw: DataFrame, prefix: str = "ps_") -> DataFrame:
     )
 
 
+# Free text of the option "Other", and the box that opens it.
+OTHER_TEXTS = {
+    "conditions_other": "conditions___13",
+    "other_med": "medications___12",
+    "other_service": "therapies___20",
+}
+
+
+def other_texts(df: DataFrame) -> DataFrame:
+    """Frequencies of what was written next to a ticked "Other" box (0/1 boxes)."""
+    return frequencies(df, {t: F.col(box) == 1 for t, box in OTHER_TEXTS.items()})
+
+
 UNDERSTANDING_ITEMS = ("serious", "consequences", "talk")
 
 

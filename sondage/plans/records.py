@@ -34,7 +34,9 @@ def c(name: str) -> Column:
 
 
 def dated(answers: DataFrame) -> DataFrame:
-    return answers.withColumn("date", F.to_date("observation_date", "MM/dd/yyyy"))
+    """Day of an answer, month first in the text; missing when it is no date."""
+    day = F.try_to_timestamp("observation_date", F.lit("MM/dd/yyyy")).cast("date")
+    return answers.withColumn("date", day)
 
 
 def person_rows(answers: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cohort import large_groups
 from ..operators.stats import group_tests
-from ..operators.summary import categorical, continuous
+from ..operators.summary import categorical, continuous, level_counts
 
 
 @dataclass(frozen=True)
@@ -65,9 +65,12 @@ def run(
     no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
     parts = []
     coded = [*report.categorical, *report.dichotomous]
+    # One count of all levels serves the table and, below, the tests.
+    counts = level_counts(df, coded, rule.column) if coded else None
     if coded:
-        # One count of all levels serves the table and, below, the tests.
-        table = categorical(df, coded, by=rule.column, values=report.dichotomous)
+        table = categorical(
+            df, coded, by=rule.column, values=report.dichotomous, counts=counts
+        )
         parts.append(table.withColumn("stat", no_text).select(*layout))
     if report.continuous:
         table = continuous(
@@ -90,6 +93,10 @@ def run(
         coded,
         report.continuous,
         rule.continuous_test,
-        overall=True,
+        counts,
     )
-    return out.join(tests, "variable", "left")
+    # A null-safe join: an ordinary one would filter the variable in the tests'
+    # branch and so part its counts from those of the table.
+    tests = tests.withColumnRenamed("variable", "_tested")
+    same = F.col("variable").eqNullSafe(F.col("_tested"))
+    return out.join(tests, same, "left").drop("_tested")
