@@ -237,13 +237,16 @@ def stack_different_shapes(spark, sf_dir):
 
 @query(
     "bind_columns_by_key",
-    f"""WITH {cte('patient')} SELECT p.record_id, p.patient_age, q.lonely FROM patient p
+    f"""WITH {cte('patient')} SELECT p.record_id, CAST(p.patient_age AS DOUBLE) AS patient_age,
+      CAST(q.lonely AS DOUBLE) AS lonely FROM patient p
     JOIN patient q ON p.record_id = q.record_id""",
 )
 def bind_columns_by_key(spark, sf_dir):
     form = view(spark, sf_dir, "patient")
     return reshape.bind_by_key(
-        form.select("record_id", "patient_age"), form.select("record_id", "lonely"), ["record_id"]
+        form.select("record_id", F.col("patient_age").cast("double").alias("patient_age")),
+        form.select("record_id", F.col("lonely").cast("double").alias("lonely")),
+        ["record_id"],
     )
 
 
