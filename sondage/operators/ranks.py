@@ -16,16 +16,21 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import quoted
 
-SLICES = 256
+FEWEST_SLICES = 256
 
 
-def slice_bounds(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:
+def slice_bounds(df: DataFrame, value: str, slices: int | None = None) -> list[float]:
     """Boundaries between slices of about equal row count, at most ``slices``.
 
-    Any increasing list gives the same result; a good one gives even tasks.
+    Any increasing list gives the same result; a good one gives even tasks. By
+    default there are as many slices as shuffle partitions, so that slices get
+    smaller as the session is set up for more data.
     """
+    if slices is None:
+        width = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        slices = max(FEWEST_SLICES, int(width))
     probs = [i / slices for i in range(1, slices)]
-    found = df.approxQuantile(value, probs, 0.5 / slices)
+    found = df.approxQuantile(value, probs, max(0.5 / slices, 1e-4))
     return sorted(set(found))
 
 
@@ -35,7 +40,7 @@ def ranked_counts(
     groups: Sequence[str] = (),
     counts: Mapping[str, Column] | None = None,
     few_values: bool = False,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Per group and distinct value: ``n`` rows, ``below`` rows with a smaller
     value, ``total`` rows of the group, and any extra ``counts`` (aggregates over

@@ -31,6 +31,9 @@ def local_session(cores: int = 8, name: str = "sondage") -> SparkSession:
     )
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -43,6 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sondage-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    run = spark.sparkContext.applicationId
+    if run not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[run] = tempfile.mkdtemp(prefix="sondage-")
+    return _LOCAL_FOLDERS[run]
