@@ -51,12 +51,13 @@ def _filled(first, second=None):
     return f"WITH {_GAPPY} SELECT record_id, event_id, {', '.join(cells)} FROM gappy"
 
 
-def _fill(direction):
+def _fill(direction, **options):
     def run(spark, sf_dir):
-        # A participant may own any share of the events, so the fill goes hour by hour.
+        # A participant may own any share of the events; long ones go hour by hour.
         hour = F.date_trunc("hour", "ts")
         out = fill.fill_within(
-            _gappy(spark, sf_dir), ["record_id"], ["ts", "event_id"], ["a", "b"], direction, hour
+            _gappy(spark, sf_dir), ["record_id"], ["ts", "event_id"], ["a", "b"], direction, hour,
+            **options,
         )
         return out.drop("ts")
 
@@ -67,6 +68,8 @@ query("fill_up_then_down", _filled(_NEXT, _PREV))(_fill("updown"))
 query("fill_down_then_up", _filled(_PREV, _NEXT))(_fill("downup"))
 query("fill_down", _filled(_PREV))(_fill("down"))
 query("fill_up", _filled(_NEXT))(_fill("up"))
+# The same with a low mark, at which about half of the participants count as long.
+query("fill_by_chunks", _filled(_NEXT, _PREV))(_fill("updown", long_record=66))
 
 
 @query(

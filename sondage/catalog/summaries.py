@@ -217,7 +217,7 @@ def one_level_shown(spark, sf_dir):
     return rounded(out).select("variable", "level", "group", "n", "total", "percent")
 
 
-_GRID_ITEMS = fixed.STIGMA_ITEMS[:4]
+_GRID_ITEMS = fixed.STIGMA_ITEMS
 
 
 def _grid(strata):

@@ -377,7 +377,7 @@ def report_by_site_type(spark, sf_dir):
     "need_domain_tests",
     f"""WITH {DOMAINS_CTE}, j AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS grp, d.*
         FROM domains d JOIN part ON arb_person_id = 'P' || p_partkey),
-      c AS ({' UNION ALL '.join(chi_parts('j', d, 'grp') for d in records.DOMAINS[:4])})
+      c AS ({' UNION ALL '.join(chi_parts('j', d, 'grp') for d in records.DOMAINS)})
     SELECT variable, n, ROUND(x, 5) AS statistic, ROUND({chi2_sql('x', 1)}, 5) AS p_value FROM c""",
 )
 def need_domain_tests(spark, sf_dir):
@@ -386,5 +386,5 @@ def need_domain_tests(spark, sf_dir):
         F.expr("CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END").alias("grp"),
     )
     joined = person_domains(spark, sf_dir).join(groups, "arb_person_id")
-    out = stats.categorical_test(joined, records.DOMAINS[:4], "grp")
+    out = stats.categorical_test(joined, records.DOMAINS, "grp")
     return rounded(out, 5, ("statistic", "p_value")).select("variable", "n", "statistic", "p_value")

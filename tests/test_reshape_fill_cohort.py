@@ -27,11 +27,11 @@ def brute_fill(values, direction):
 
 
 @pytest.mark.parametrize("direction", ["down", "up", "updown", "downup"])
-@pytest.mark.parametrize("chunked", [False, True])
-def test_fill_matches_brute_force(frame, direction, chunked):
+@pytest.mark.parametrize("long_record", [None, 0, 4, 1000])
+def test_fill_matches_brute_force(frame, direction, long_record):
     rng = random.Random(7)
-    # Record 0 owns most rows, record 3 has no value at all.
-    sizes = {0: 60, 1: 5, 2: 1, 3: 4}
+    # Record 0 owns most rows, record 3 has no value at all, one record has no id.
+    sizes = {0: 60, 1: 5, 2: 1, 3: 4, None: 12}
     data = {
         r: [None if r == 3 or rng.random() < 0.8 else rng.randint(1, 9) for _ in range(n)]
         for r, n in sizes.items()
@@ -39,8 +39,10 @@ def test_fill_matches_brute_force(frame, direction, chunked):
     shuffled = [(r, i, v) for r, vs in data.items() for i, v in enumerate(vs)]
     rng.shuffle(shuffled)
     df = frame("r int, t int, v int", *shuffled)
-    chunk = F.floor(F.col("t") / 7) if chunked else None
-    out = fill.fill_within(df, ["r"], ["t"], ["v"], direction, chunk)
+    options = {}
+    if long_record is not None:
+        options = {"chunk": F.floor(F.col("t") / 7), "long_record": long_record}
+    out = fill.fill_within(df, ["r"], ["t"], ["v"], direction, **options)
     assert out.columns == ["r", "t", "v"]
     want = [(r, i, v) for r, vs in data.items() for i, v in enumerate(brute_fill(vs, direction))]
     assert rows(out) == sorted(want, key=repr)
