@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, near_dedup, packing, quality_rules
+from sondage.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _digests(found: str, kinds: list[str]) -> list:
+    """Counts and digest of the base kinds, and all spans written out."""
+    def of(*names: str) -> Column:
+        return F.filter(found, lambda s: s["kind"].isin(*names))
+
+    base = of(*kinds)
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in kinds]
+    return [*counts, F.sha2(spans.written(base), 256).alias("base_sha256"), spans.written(F.col(found)).alias("spans")]
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in documents, by a trigram index."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_digests("found", ["assign", "access", "hex"]))
