@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, spans
+from sondage.llm import decontamination, near_dedup, packing, pii, quality_rules, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,3 +129,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in documents, by a trigram index."""
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *_digests("found", ["assign", "access", "hex"]))
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in documents: base spans and those that boosted trees add."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_digests("found", ["email", "ip", "card", "phone"]))
