@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, near_dedup, packing, pii, quality_rules, secret_scan, spans
+from sondage.llm import decontamination, near_dedup, packing, pii, quality_rules, secret_scan, spans, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,3 +136,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in documents: base spans and those that boosted trees add."""
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *_digests("found", ["email", "ip", "card", "phone"]))
+
+
+#: The rules of the contract.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+@query()
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages by rules and path templates."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules=URL_RULES)
