@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, near_dedup, packing, pii, quality_rules, secret_scan, spans, url_filter
+from sondage.llm import decontamination, html_text, near_dedup, packing, pii, quality_rules, secret_scan, spans, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,3 +152,9 @@ URL_RULES = [
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages by rules and path templates."""
     return url_filter.judge(table(spark, sf_dir, "pages"), rules=URL_RULES)
+
+
+@query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
