@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, html_text, near_dedup, packing, pii, quality_rules, secret_scan, spans, url_filter
+from sondage.llm import decontamination, html_text, near_dedup, packing, pii, quality_gam, quality_rules, secret_scan, spans, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,3 +158,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def _predicted(scored: DataFrame, at_least: float) -> DataFrame:
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= at_least).cast("int").alias("predicted"))
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by an additive model with pairs."""
+    return _predicted(quality_gam.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.3)
