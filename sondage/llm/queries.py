@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.llm import decontamination, html_text, near_dedup, packing, pii, quality_gam, quality_rules, secret_scan, spans, url_filter
+from sondage.llm import (
+    decontamination,
+    html_text,
+    near_dedup,
+    packing,
+    pii,
+    quality_gam,
+    quality_rules,
+    secret_scan,
+    spans,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,3 +180,9 @@ def _predicted(scored: DataFrame, at_least: float) -> DataFrame:
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by an additive model with pairs."""
     return _predicted(quality_gam.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.3)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by compression distance."""
+    return _predicted(toxicity.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.7)
