@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import alphanumeric_words, lower_ascii, rows_of, with_text_bytes
+from sondage.llm.texts import alphanumeric_words, lower_ascii, rows_of, schema_with, unpacked, whole_rows, with_text_bytes
 
 WINDOW = 13
 #: Texts of test items up to this many bytes are collected and broadcast.
@@ -102,8 +102,7 @@ def _broadcast_hits(docs: DataFrame, items: list[tuple[str, bytes]], width: int)
                 names=[*names, "n_words", "hits", "items"],
             )
 
-    kept = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes if n != "text")
-    return docs.mapInArrow(find, f"{kept}, {HITS}")
+    return docs.mapInArrow(find, schema_with(docs, HITS))
 
 
 def _windows(words: Column, size: Column) -> Column:
@@ -190,11 +189,10 @@ def contaminated(hits: Column, n_words: Column, one_in: int = 20) -> Column:
     return (n_hit(hits) > 0) & (F.lit(one_in) * n_hit(hits) >= n_words)
 
 
-def remove_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def remove_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns as they were."""
-    text = options.get("text", "text")
-    marked = find_hits(docs.withColumn("_whole_text", F.col(text)), items, keep=[*[c for c in docs.columns if c != text], "_whole_text"], **options)
-    return marked.where(~contaminated(F.col("hits"), F.col("n_words"))).withColumn(text, F.col("_whole_text")).select(*docs.columns)
+    marked = find_hits(whole_rows(docs, text), items, keep=["_row"], text="_text", **options)
+    return unpacked(marked.where(~contaminated(F.col("hits"), F.col("n_words"))), docs.columns)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -203,10 +201,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
     The text is cut at word edges; characters before the first and after the last word
     stay. Texts without a hit are unchanged.
     """
-    names = [c for c in docs.columns if c != text]
-    marked = find_hits(docs.withColumn("_whole_text", F.col(text)), items, keep=[*names, "_whole_text"], text=text, **options)
+    marked = find_hits(whole_rows(docs, text), items, keep=["_row"], text="_text", **options)
     # pieces[2k] lies before word k, pieces[2k + 1] is word k
-    whole = F.col("_whole_text")
+    whole = F.col("_row")[text]
     gaps = F.split(whole, _ANY_WORD, -1)
     words = F.regexp_extract_all(whole, F.lit(_ANY_WORD), 0)
     inside = lambda i: F.exists("hits", lambda h: (h["first"] <= i) & (i <= h["last"]))
@@ -219,4 +216,4 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
         ),
     )
     cut = F.when(F.size("hits") > 0, F.array_join(pieces, "")).otherwise(whole)
-    return marked.withColumn(text, cut).select(*docs.columns)
+    return unpacked(marked, docs.columns, **{text: cut})

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import rows_of, with_text_bytes
+from sondage.llm.texts import rows_of, schema_with, with_text_bytes
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -347,5 +347,4 @@ def extract(pages: DataFrame, keep: list[str] = ["page_id"], html: str = "html")
             shown = pa.array([visible_text(t.decode("utf-8", "replace")) for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], shown], names=[*keep, "text"])
 
-    kept = ", ".join(f"`{n}` {t}" for n, t in read.dtypes if n != "text")
-    return read.mapInArrow(render, f"{kept}, text string")
+    return read.mapInArrow(render, schema_with(read, "text string"))

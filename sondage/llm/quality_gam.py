@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondage.llm.quality_rules import SPACES, SYMBOLS, repeated_lines, repeated_words
-from sondage.llm.texts import remainder_of_id, rows_of, with_text_bytes
+from sondage.llm.texts import remainder_of_id, rows_of, schema_with, with_text_bytes
 
 FEATURES = (
     "words",
@@ -205,8 +205,7 @@ def measured(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
             x = pa.array([features(t) for t in texts], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], x], names=[*keep, "x"])
 
-    kept = "".join(f"`{n}` {t}, " for n, t in read.dtypes if n != "text")
-    return read.mapInArrow(measure, f"{kept}x array<double>")
+    return read.mapInArrow(measure, schema_with(read, "x array<double>"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, params: Boosting = Boosting(), doc_id: str = "doc_id", text: str = "text") -> Model | None:
@@ -239,8 +238,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str] = ["doc_id"], te
             found = sent.value.score(x) if sent.value else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(found)], names=[*keep, "score"])
 
-    kept = "".join(f"`{n}` {t}, " for n, t in read.dtypes if n != "text")
-    return read.mapInArrow(judge, f"{kept}score double")
+    return read.mapInArrow(judge, schema_with(read, "score double"))
 
 
 def learn_and_score(docs: DataFrame, labels: DataFrame, label: str = "quality", divisor: int = 5, held: int = 0, params: Boosting = Boosting()) -> DataFrame:

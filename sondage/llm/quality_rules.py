@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import rows_of, with_text_bytes
+from sondage.llm.texts import rows_of, schema_with, unpacked, whole_rows, with_text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -129,15 +129,11 @@ def score_rules(
                 [batch.column(c) for c in keep] + [pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=[*keep, *names]
             )
 
-    kept = ", ".join(f"`{n}` {t}" for n, t in read.dtypes if n != "text")
-    scored = read.mapInArrow(judge, f"{kept}, {MEASURES}")
+    scored = read.mapInArrow(judge, schema_with(read, MEASURES))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & F.col("in_band"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that pass, with all their columns as they were."""
-    names = [c for c in docs.columns if c != text]
-    whole = docs.withColumn("_whole_text", F.col(text))
-    scored = score_rules(whole, keep=[*names, "_whole_text"], text=text, **options)
-    return scored.where("kept").withColumn(text, F.col("_whole_text")).select(*docs.columns)
+    return unpacked(score_rules(whole_rows(docs, text), keep=["_row"], text="_text", **options).where("kept"), docs.columns)

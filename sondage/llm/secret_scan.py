@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sondage.llm import spans
-from sondage.llm.texts import kept_table
+from sondage.llm.texts import kept_table, unpacked, whole_rows
 
 #: Candidate ids up to this many are broadcast to the verifying scan; more are joined by shuffle.
 BROADCAST_IDS = 100_000
@@ -208,6 +208,5 @@ def scan(
 
 def mask_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mask: str = "[SECRET]", **options) -> DataFrame:
     """The documents with every secret replaced by ``mask``; other columns as they were."""
-    whole = docs.withColumn("_whole_text", F.col(text))
-    scanned = scan(whole, keep=[*[c for c in docs.columns if c != text], "_whole_text"], text=text, doc_id=doc_id, **options)
-    return scanned.withColumn(text, spans.masked(F.col("_whole_text"), F.col("found"), mask)).select(*docs.columns)
+    scanned = scan(whole_rows(docs, text, doc_id), keep=["_row"], text="_text", doc_id=f"_{doc_id}", **options)
+    return unpacked(scanned, docs.columns, **{text: spans.masked(F.col("_row")[text], F.col("found"), mask)})

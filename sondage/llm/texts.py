@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sondage.session import shared_folder
 
@@ -38,6 +39,21 @@ def with_text_bytes(frame: DataFrame, columns: list[str], text: str) -> DataFram
     return frame.select(*[F.col(c) for c in columns], F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
 
+def whole_rows(docs: DataFrame, text: str, *more: str) -> DataFrame:
+    """``_row`` with all columns, and the text and other columns named, under names nothing else has."""
+    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *[F.col(c).alias(f"_{k}") for k, c in (("text", text), *((m, m) for m in more))])
+
+
+def unpacked(frame: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``_row``, some of them changed."""
+    return frame.select(*[changed[c].alias(c) if c in changed else F.col("_row")[c].alias(c) for c in columns])
+
+
+def schema_with(frame: DataFrame, more: str) -> StructType:
+    """The columns of a frame but ``text``, and more by their definition."""
+    return StructType([f for f in frame.schema if f.name != "text"] + StructType.fromDDL(more).fields)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return batch.column(name).to_pylist()
 

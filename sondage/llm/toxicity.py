@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import kept_table, remainder_of_id, rows_of, space_words, with_text_bytes
+from sondage.llm.texts import kept_table, remainder_of_id, rows_of, schema_with, space_words, with_text_bytes
 
 WINDOWS_KEPT = 500_000
 GRAM = 5
@@ -231,8 +231,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str] = ["doc_id"], te
                 [*[batch.column(c) for c in keep], pa.array(x.sum(axis=1).astype(np.int64)), pa.array(q)], names=[*keep, "flagged", "score"]
             )
 
-    kept = "".join(f"`{n}` {t}, " for n, t in read.dtypes if n != "text")
-    return read.mapInArrow(judge, f"{kept}flagged bigint, score double")
+    return read.mapInArrow(judge, schema_with(read, "flagged bigint, score double"))
 
 
 def learn_and_score(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 3, held: int = 1, params: Distance = Distance()) -> DataFrame:
