@@ -204,15 +204,14 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
     marked = find_hits(whole_rows(docs, text), items, keep=["_row"], text="_text", **options)
     # pieces[2k] lies before word k, pieces[2k + 1] is word k
     whole = F.col("_row")[text]
-    gaps = F.split(whole, _ANY_WORD, -1)
-    words = F.regexp_extract_all(whole, F.lit(_ANY_WORD), 0)
+    parts = F.arrays_zip(F.split(whole, _ANY_WORD, -1).alias("gap"), F.regexp_extract_all(whole, F.lit(_ANY_WORD), 0).alias("word"))
     inside = lambda i: F.exists("hits", lambda h: (h["first"] <= i) & (i <= h["last"]))
     after = lambda i: F.exists("hits", lambda h: (h["first"] < i) & (i <= h["last"]))
     pieces = F.transform(
-        gaps,
-        lambda gap, i: F.concat(
-            F.when(after(i), F.lit("")).otherwise(gap),
-            F.when((i < F.size(words)) & ~inside(i), F.get(words, i)).otherwise(F.lit("")),
+        parts,
+        lambda x, i: F.concat(
+            F.when(after(i), F.lit("")).otherwise(x["gap"]),
+            F.when(inside(i), F.lit("")).otherwise(F.coalesce(x["word"], F.lit(""))),
         ),
     )
     cut = F.when(F.size("hits") > 0, F.array_join(pieces, "")).otherwise(whole)

@@ -200,7 +200,10 @@ class Renderer:
             return True
         flow = self.flows[-1]
         if tag == "br":
-            flow.end_line(keep=bool(flow.words) or self.kept > 0)
+            if flow.words or self.kept:
+                flow.end_line(keep=self.kept > 0)
+            elif flow.lines and not flow.gap:
+                flow.emit([""])
         elif tag in BLOCKS:
             flow.end_line()
             if tag in PARAGRAPHS and not (tag in ("ul", "ol", "dl") and self.lists):

@@ -16,8 +16,10 @@ def find(text: Column, pattern: str, when: Column | None = None, before: int = 0
     running sums of their lengths. ``when`` tells which texts to search.
     """
     matches, pieces = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
+    # zipped, so that no lambda holds the searches and repeats them for each match
+    parts = [matches.alias("m"), pieces.alias("p"), *([F.slice(pieces, 2, 1 << 30).alias("q")] if after else [])]
     found = F.aggregate(
-        F.transform(matches, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("p"), F.get(pieces, i + 1).alias("q"))),
+        F.filter(F.arrays_zip(*parts), lambda x: x["m"].isNotNull()),
         F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found")),
         lambda state, x: F.struct(
             (state["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
@@ -32,7 +34,7 @@ def find(text: Column, pattern: str, when: Column | None = None, before: int = 0
                         (F.left(x["q"], F.lit(after)) if after else F.lit("")).alias("after"),
                     )
                 ),
-            ).cast(FOUND).alias("found"),
+            ).alias("found"),
         ),
         lambda state: state["found"],
     )
@@ -69,7 +71,7 @@ def merged(spans: Column) -> Column:
                 F.slice(done, 1, F.size(done) - 1),
                 F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"))),
             ),
-        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))).cast(kind),
+        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
     )
 
 
