@@ -10,9 +10,9 @@ with a probability near one in a million (8 chunks of 4).
 Groups may hold a third of all documents, so pairs inside an index bucket are never all
 emitted. Documents with the same words are first folded to one. Then each bucket links its
 documents to the smallest, one pair per document; after confirmed links are merged, only
-documents of different components in a bucket meet again: first with the bucket's smallest
-and largest components, and in the last round each with the documents of other components
-that remain. Links are confirmed on the full shingle sets.
+documents of buckets with several components go on: first with the bucket's smallest and
+largest components, and those that remain through an exact prefix-filter join that meets
+only pairs which can reach the overlap. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -163,6 +163,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
     return both.where(100 * shared >= p.percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
+def residue_pairs(nodes: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may still be similar enough.
+
+    No pair is missed: shingles are ordered from rare to common, and two sets whose overlap
+    is large enough share a shingle so early in this order that as much of both is left
+    (prefix and positional filters). Entries of one shingle are first grouped by component,
+    size and position, so that a shingle of a whole component is one row of each kind; only
+    pairs of groups that can reach the overlap are turned into pairs of nodes.
+    """
+    bag = kept_table(sets.dropDuplicates(["node"]).join(nodes, "node"), "bags")
+    shingles = bag.select("node", F.explode("shingles").alias("s"))
+    holders = F.struct(F.bit_xor(F.xxhash64("node")), F.min(F.xxhash64(F.lit("least"), "node")))
+    common = kept_table(shingles.groupBy("s").agg(F.count("*").alias("n"), holders.alias("holders")).where("n > 1"), "frequency")
+    # shingles of the same nodes meet the same pairs: the first of them in the order stands for all
+    lead = common.groupBy("n", "holders").agg(F.min("s").alias("s")).select("s", F.lit(True).alias("lead"))
+    common = kept_table(common.drop("holders").join(lead, "s", "left"), "leading")
+    known = shingles.join(common, "s", "left").groupBy("node")
+    order = known.agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "s", "lead"))).alias("order"))
+    left = F.col("size") - F.col("at")  # shingles from this one on
+    entry = order.join(bag.select("node", "component"), "node").withColumn("size", F.size("order"))
+    entry = entry.select("node", "component", "size", F.posexplode(F.slice("order", 1, F.col("size") * (100 - p.percent) / 100 + 1)).alias("at", "o"))
+    entry = entry.where(F.col("o.lead") & (100 * left >= p.percent * F.col("size"))).select("node", "component", "size", "at", F.col("o.s").alias("s"))
+    entry = kept_table(entry, "entries")
+    kind = entry.groupBy("s", "component", "size", "at").agg(F.count("*").alias("n"))
+    several = kind.groupBy("s").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("s")
+    kind = kept_table(kind.join(several, "s").select("s", "component", "size", "at"), "kinds")
+    small = kind.where((100 + p.percent) * left >= 2 * p.percent * F.col("size")).select("s", F.struct("component", "size", "at").alias("x"))
+    large = kind.select("s", F.struct("component", "size", "at").alias("y"))
+    overlap = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    may = (F.col("x.component") != F.col("y.component")) & (F.col("x.size") <= F.col("y.size"))
+    may &= (100 + p.percent) * overlap >= p.percent * (F.col("x.size") + F.col("y.size"))
+    met = small.join(large, (small["s"] == large["s"]) & may).select(small["s"].alias("s"), "x", "y")
+    of = lambda name, end: entry.select("s", F.struct("component", "size", "at").alias(end), F.col("node").alias(name))
+    pairs = met.join(of("a", "x"), ["s", "x"]).join(of("b", "y"), ["s", "y"])
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node reachable over links (a, b), for nodes that have links.
 
@@ -225,13 +262,11 @@ def group(docs: DataFrame, params: Hamming = Hamming(), doc_id: str = "doc_id",
         spread = labelled.groupBy("bucket").agg(F.min(member).alias("low"), F.max(member).alias("high"))
         split = labelled.join(spread.where("low.component <> high.component"), "bucket")
         if last:
-            split = kept_table(split.drop("low", "high"), "split")
-            other = split.select("bucket", F.struct("component", "node", "n_shingles").alias("end"))
-            pairs = split.join(other, "bucket").where("component < end.component")
+            pairs = residue_pairs(kept_table(split.select("node", "component").distinct(), "residue"), sets, p)
         else:
             pairs = split.withColumn("end", F.explode(F.array("low", "high"))).where("component <> end.component")
-        pairs = pairs.where(near_in_size(p, "n_shingles", "end.n_shingles"))
-        pairs = pairs.select(F.greatest("node", "end.node").alias("a"), F.least("node", "end.node").alias("b")).distinct()
+            pairs = pairs.where(near_in_size(p, "n_shingles", "end.n_shingles"))
+            pairs = pairs.select(F.greatest("node", "end.node").alias("a"), F.least("node", "end.node").alias("b")).distinct()
         links = links.unionByName(kept_table(confirmed(pairs, sets, p), "confirmed"))
     found = components(links)
     named = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
