@@ -68,8 +68,7 @@ query("fill_up_then_down", _filled(_NEXT, _PREV))(_fill("updown"))
 query("fill_down_then_up", _filled(_PREV, _NEXT))(_fill("downup"))
 query("fill_down", _filled(_PREV))(_fill("down"))
 query("fill_up", _filled(_NEXT))(_fill("up"))
-# The same with a low mark, at which about half of the participants count as long.
-query("fill_by_chunks", _filled(_NEXT, _PREV))(_fill("updown", long_record=66))
+query("fill_by_chunks", _filled(_NEXT, _PREV))(_fill("updown"))
 
 
 @query(

@@ -11,12 +11,6 @@ from ..functions.nulls import quoted
 
 _DIRECTIONS = ("down", "up", "updown", "downup")
 
-# A record with more rows than this is filled chunk by chunk.
-LONG_RECORD = 1_000_000
-# Long records are broadcast up to this many, and joined without a hint beyond.
-MOST_BROADCAST = 10_000
-
-
 def fill_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -24,7 +18,6 @@ def fill_within(
     cols: Sequence[str],
     direction: str = "updown",
     chunk: Column | None = None,
-    long_record: int = LONG_RECORD,
 ) -> DataFrame:
     """Fill missing values from the same record.
 
@@ -34,10 +27,11 @@ def fill_within(
 
     Without ``chunk`` a record is one window, right for records bounded by the
     visit schedule. Where a record has no such bound, pass a ``chunk``: a column
-    that never decreases along ``order``. Record sizes are counted first, from the
-    key columns alone. Records above ``long_record`` rows are then filled within
-    (record, chunk), and only each chunk's first and last value travels along the
-    record, so no task holds a long record; the others stay one window each.
+    that never decreases along ``order``, nulls first as in the order. Rows are then
+    filled within (record, chunk), and only each chunk's first and last value
+    travels along the record, so no task holds a long record. Rows with a null
+    chunk are a chunk of their own before all others. The result is the same with
+    and without chunks.
 
     The next value is read as the previous one in descending order: a running
     frame is linear in the window, a frame open to the right is quadratic.
@@ -47,11 +41,9 @@ def fill_within(
     by_key = [F.col(quoted(k)) for k in keys]
     ordering = [F.col(quoted(o)) for o in order]
     columns = df.columns
-    if chunk is not None:
-        df, chunked = _mark_long(df, keys, chunk, long_record)
-        chunk = chunk if chunked else None
     part = list(by_key)
     if chunk is not None:
+        df = df.withColumn("_chunk", chunk)
         part.append(F.col("_chunk"))
 
     def running(window_keys, sort_cols, last_row):
@@ -73,7 +65,7 @@ def fill_within(
     )
     if chunk is not None:
         rank = F.struct(*ordering)
-        edges = df.where("_chunk is not null").groupBy(*by_key, "_chunk").agg(
+        edges = df.groupBy(*by_key, "_chunk").agg(
             *[
                 take(F.col(quoted(c)), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"{tag}{c}")
                 for c in cols
@@ -90,7 +82,7 @@ def fill_within(
         )
         tags = [f"_k{i}" for i in range(len(keys))]
         carries = carries.toDF(*tags, "_c", *carries.columns[len(keys) + 1 :])
-        same = F.col("_chunk") == F.col("_c")
+        same = F.col("_chunk").eqNullSafe(F.col("_c"))
         for k, t in zip(by_key, tags):
             same = same & k.eqNullSafe(F.col(t))
         out = out.join(carries, same, "left")
@@ -111,28 +103,3 @@ def fill_within(
     }
     return out.select(*[filled.get(c, F.col(quoted(c))) for c in columns])
 
-
-def _mark_long(
-    df: DataFrame, keys: Sequence[str], chunk: Column, long_record: int
-) -> tuple[DataFrame, bool]:
-    """Add ``_chunk``, null for records of ordinary length. The frame comes back as
-    it was, with False, when no record is long."""
-    tags = [f"_k{i}" for i in range(len(keys))]
-    long = (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > long_record)
-        .toDF(*tags, "_rows")
-    )
-    found = long.limit(MOST_BROADCAST + 1).count()
-    if found == 0:
-        return df, False
-    if found <= MOST_BROADCAST:
-        long = F.broadcast(long)
-    same = F.lit(True)
-    for k, t in zip(keys, tags):
-        same = same & F.col(quoted(k)).eqNullSafe(F.col(t))
-    marked = df.join(long, same, "left").withColumn(
-        "_chunk", F.when(F.col("_rows").isNotNull(), chunk)
-    )
-    return marked.drop(*tags, "_rows"), True

@@ -279,12 +279,17 @@ def anova(df: DataFrame, value: str, by: str) -> DataFrame:
         F.sum(F.when(part, F.col("n") - 1)).cast("double").alias("df_within"),
         # A group of one row has no spread.
         F.sum(F.when(part, F.when(F.col("n") > 1, F.col("ss")).otherwise(0.0))).alias("ss_within"),
-        F.max(F.when(~part, F.col("ss"))).alias("_all"),
+        F.max(F.when(~part, F.col("mean"))).alias("_mean"),
+        # One entry per level, summed about the grand mean: no large sums to subtract.
+        F.collect_list(F.when(part, F.struct("n", "mean"))).alias("_levels"),
+    )
+    between = F.aggregate(
+        "_levels", F.lit(0.0), lambda s, g: s + g["n"] * (g["mean"] - F.col("_mean")) ** 2
     )
     out = sums.select(
         "df_between",
         "df_within",
-        (F.col("_all") - F.col("ss_within")).alias("ss_between"),
+        between.alias("ss_between"),
         "ss_within",
     ).withColumn(
         "statistic",

@@ -121,6 +121,27 @@ def test_fisher_enumeration(table):
     assert dist.fisher_table(t, max_states=2) is None
 
 
+def test_tails_at_any_number_of_rows():
+    """Against the limits and their first correction in 1 / df."""
+    normal = math.erfc(1.96 / math.sqrt(2))
+    density = math.exp(-(1.96**2) / 2) / math.sqrt(2 * math.pi)
+    for df in (1e6, 1e9, 1e12, 1e13):
+        first = density * (1.96**3 + 1.96) / (2 * df)
+        assert dist.t_two_sided(1.96, df) == pytest.approx(normal + first, rel=1e-9)
+        assert dist.f_tail(3.0, 2, df) == pytest.approx((1 + 6 / df) ** (-df / 2) if df < 1e9 else math.exp(-3 + 9 / df), rel=1e-9)
+    # Both ways of computing agree where one takes over from the other.
+    for stat in (0.3, 1.96, 8.0):
+        assert dist.t_two_sided(stat, 1e6 - 1) == pytest.approx(dist.t_two_sided(stat, 1e6), rel=1e-4)
+
+
+def test_exact_two_by_two_of_large_counts():
+    assert dist.fisher_two_by_two(10**9, 10**9, 10**9, 10**9) == pytest.approx(1.0)
+    n, z = 10**8, 2.0
+    move = int(z * math.sqrt(n) / 2)
+    p = dist.fisher_two_by_two(n + move, n - move, n - move, n + move)
+    assert p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-3)
+
+
 def test_rank_sum_exact_small():
     # Complete separation of 3 and 3: two of twenty arrangements are as extreme.
     assert dist.rank_sum_exact(0, 3, 3) == pytest.approx(0.1)

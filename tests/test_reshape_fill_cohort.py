@@ -27,8 +27,8 @@ def brute_fill(values, direction):
 
 
 @pytest.mark.parametrize("direction", ["down", "up", "updown", "downup"])
-@pytest.mark.parametrize("long_record", [None, 0, 4, 1000])
-def test_fill_matches_brute_force(frame, direction, long_record):
+@pytest.mark.parametrize("chunk", [None, 1, 7, 1000])
+def test_fill_matches_brute_force(frame, direction, chunk):
     rng = random.Random(7)
     # Record 0 owns most rows, record 3 has no value at all, one record has no id.
     sizes = {0: 60, 1: 5, 2: 1, 3: 4, None: 12}
@@ -36,15 +36,14 @@ def test_fill_matches_brute_force(frame, direction, long_record):
         r: [None if r == 3 or rng.random() < 0.8 else rng.randint(1, 9) for _ in range(n)]
         for r, n in sizes.items()
     }
-    shuffled = [(r, i, v) for r, vs in data.items() for i, v in enumerate(vs)]
+    # The first row of each record has no time: it comes before all others.
+    shuffled = [(r, i or None, v) for r, vs in data.items() for i, v in enumerate(vs)]
     rng.shuffle(shuffled)
     df = frame("r int, t int, v int", *shuffled)
-    options = {}
-    if long_record is not None:
-        options = {"chunk": F.floor(F.col("t") / 7), "long_record": long_record}
+    options = {"chunk": F.floor(F.col("t") / chunk)} if chunk else {}
     out = fill.fill_within(df, ["r"], ["t"], ["v"], direction, **options)
     assert out.columns == ["r", "t", "v"]
-    want = [(r, i, v) for r, vs in data.items() for i, v in enumerate(brute_fill(vs, direction))]
+    want = [(r, i or None, v) for r, vs in data.items() for i, v in enumerate(brute_fill(vs, direction))]
     assert rows(out) == sorted(want, key=repr)
 
 
