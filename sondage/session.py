@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,13 +24,25 @@ def local_session(cores: int = 8, name: str = "sondage") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
     for key, value in PORTABLE.items():
         builder = builder.config(key, value)
-    return (
+    spark = (
         builder.config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it by name.
+
+    Not needed where it is installed on them or passed with ``--py-files``.
+    """
+    top = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="sondage-package-")
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{top.name}", "zip", top.parent, top.name))
 
 
 _LOCAL_FOLDERS: dict[str, str] = {}

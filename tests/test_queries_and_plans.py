@@ -33,6 +33,21 @@ def test_registry_loads_without_a_session():
     subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT)
 
 
+def test_tests_run_from_another_folder(tmp_path):
+    """Python workers find the package though the session starts elsewhere."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from sondage.session import local_session
+from sondage.operators import stats
+spark = local_session(2)
+rows = [("ab"[k % 2], "xyz"[k % 3]) for k in range(60)]
+found = stats.categorical_test(spark.createDataFrame(rows, "g string, v string"), ["v"], "g").first()
+assert found["p_value"] > 0.99, found
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
+
+
 @needs_data
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
