@@ -20,16 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import rows_of, with_text_bytes
+from sondage.llm.texts import with_text_bytes
 
 #: Punctuation after which a sentence may end.
 SENTENCE_ENDS = (".", "!", "?", ";", ":", "。", "！", "？", "…")
 #: Words remembered by one Python worker, with their ids.
-WORDS_KEPT = 700_000
+WORDS_KEPT = 1_000_000
+#: Bytes of text encoded at once.
+TEXT_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -66,12 +69,11 @@ class WordIds:
             ids = self._whole(mark)
             if len(ids) == 1:
                 self.sentence_ends[ids] = True
-        self.stop = {mark: self._whole(mark.decode()) for mark in (b".", b",")}
+        self.stop = {mark: self._whole(mark)[0] for mark in (".", ",")}
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.pool: list[np.ndarray] = []
+        self.number: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -79,58 +81,77 @@ class WordIds:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Adds words; those of letters only are encoded in one run and told apart by word ends."""
-        bare = {w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalnum() else w for w in words}
-        bare = list(bare - self.number.keys())
-        letters = [w for w in bare if w.isalpha() or w.decode().isalpha()]
-        found: dict[bytes, np.ndarray] = {}
-        for first in range(0, len(letters), 5000):
-            some = letters[first : first + 5000]
-            ids = self._whole(b" ".join(some).decode())
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                found.update(zip(some, np.split(ids, cuts[:-1]), strict=True))
-        rest = [w for w in bare if w not in found]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            found[w] = np.array(e.ids, np.uint32)
-        more: dict[bytes, np.ndarray] = found
-        for w in words:
-            if w not in self.number and w not in more:
-                head = w[:-1]
-                known = more.get(head)
-                if known is None:
-                    n = self.number[head]
-                    known = self.flat[self.start[n] : self.start[n] + self.size[n]]
-                more[w] = np.concatenate([known, self.stop[w[-1:]]])
-        base, size = len(self.size), np.fromiter(map(len, more.values()), np.int64, len(more))
-        self.number.update(zip(more, range(base, base + len(more)), strict=True))
+    def _add(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+        """Words with their ids laid end to end."""
+        self.number.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, *more.values()])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _spread(self, n: np.ndarray, extra: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in the pool of the words ``n`` in turn, where each word ends, and sizes, with room for ``extra`` ids after each."""
+        size = self.size[n] + extra
+        ends = np.cumsum(size)
+        return np.repeat(self.start[n] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0), ends, size
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by ``end_id``, and the number of ids of each text."""
-        words = [[] if b"<|" in t else t.lower().split() for t in texts]
-        new = set().union(*words) - self.number.keys()
+    def _learn(self, words: list[str]) -> None:
+        """Adds words. Those of letters only are encoded in one run and told apart by word
+        ends; a full stop or comma after an ASCII letter or digit is a unit of its own."""
+        stopped: dict[str, list[str]] = {mark: [] for mark in self.stop}
+        bare = set()
+        for w in words:
+            if w[-1:] in self.stop and w[-2:-1].isalnum() and w[-2].isascii():
+                stopped[w[-1]].append(w)
+                bare.add(w[:-1])
+            else:
+                bare.add(w)
+        bare -= self.number.keys()
+        letters = [w for w in bare if w.isalpha()]
+        rest = [w for w in bare if not w.isalpha()]
+        for first in range(0, len(letters), 20_000):
+            some = letters[first : first + 20_000]
+            ids = self._whole(" ".join(some))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                self._add(some, ids, np.diff(ends, prepend=0))
+            else:
+                rest += some
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        self._add(rest, np.array([i for e in each for i in e], np.uint32), np.fromiter(map(len, each), np.int64, len(each)))
+        for mark, ws in stopped.items():
+            n = np.fromiter((self.number[w[:-1]] for w in ws), np.int64, len(ws))
+            places, ends, size = self._spread(n, extra=1)
+            places[ends - 1] = 0
+            flat = self.flat[places] if len(self.flat) else np.zeros(0, np.uint32)
+            flat[ends - 1] = self.stop[mark]
+            self._add(ws, flat, size)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the strings, each text's followed by ``end_id``, and the number of ids of each text."""
+        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.number) + len(words) > WORDS_KEPT:
+            self._forget()
+        get = self.number.get
+        number = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(number < 0).tolist()
         if new:
-            if len(self.number) + 2 * len(new) > WORDS_KEPT:
-                self._forget()
-                new = set().union(*words)
-            self._learn(new)
-        get = self.number.__getitem__
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        n = np.fromiter((get(w) for ws in words for w in ws), np.int64, int(counts.sum()))
-        size = self.size[n]
-        before = np.concatenate([[0], np.cumsum(size)])
-        spread = np.repeat(self.start[n] - before[:-1], size) + np.arange(before[-1])
-        ids = self.flat[spread]
-        edges = before[np.concatenate([[0], np.cumsum(counts)])]
-        end = np.array([end_id], np.uint32)
-        parts = []
-        for k, text in enumerate(texts):
-            parts += [self._whole(text.decode()) if b"<|" in text else ids[edges[k] : edges[k + 1]], end]
-        return np.concatenate(parts), np.array([len(p) + 1 for p in parts[::2]], np.int64)
+            self._learn([words[k] for k in new])
+            number[new] = [self.number[words[k]] for k in new]
+        n = number[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        places, ends, _ = self._spread(n)
+        ids = self.flat[places] if len(self.flat) else np.zeros(0, np.uint32)
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        edges = np.concatenate([[0], ends])[offsets - offsets[0]]
+        if len(special):
+            parts = np.split(ids, edges[1:-1])
+            for k in special.tolist():
+                parts[k] = self._whole(texts[k].as_py())
+            edges = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+            ids = np.concatenate(parts)
+        return np.insert(ids, edges[1:], end_id), np.diff(edges) + 1
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -254,16 +275,19 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, p: Packing, schema: pa.S
             starts[0] += done
 
     gathered, held = [], 0
-    for batch, texts in rows_of(batches):
+    for batch in batches:
         names = batch.column("doc_id").to_pylist()
-        for k in range(0, len(texts), 256):
-            new, count = words.encode(texts[k : k + 256], p.end_id)
+        texts = batch.column("text").cast(pa.string())
+        size = np.cumsum(pc.binary_length(texts).to_numpy())
+        cuts = np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1  # many texts at once: fewer distinct words
+        for k, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
+            new, count = words.encode(texts[k:end], p.end_id)
             gathered.append(new)
             held += len(new)
             sizes += count.tolist()
             totals += count.tolist()
             starts += [0] * len(count)
-            doc_ids += names[k : k + 256]
+            doc_ids += names[k:end]
             if held >= p.block:
                 ids = np.concatenate([ids, *gathered])
                 gathered = []
