@@ -284,14 +284,13 @@ def answers_to_columns(spark, sf_dir):
     "presence_matrix",
     f"""WITH {visits_cte()} SELECT record_id, """
     + ", ".join(
-        f"CAST(COALESCE(MAX(CASE WHEN redcap_event_name = '{e}' AND n > 10 THEN 1 END), 0) AS INT) AS {e}"
+        f"CAST(COALESCE(MAX(CASE WHEN redcap_event_name = '{e}' THEN 1 END), 0) AS INT) AS {e}"
         for e in EVENTS
     )
-    + " FROM visits GROUP BY record_id HAVING MAX(n) > 10",
+    + " FROM visits GROUP BY record_id",
 )
 def presence_matrix(spark, sf_dir):
-    busy = visits(spark, sf_dir).where("n > 10")
-    return reshape.wider(busy, ["record_id"], "redcap_event_name", EVENTS, F.max(F.lit(1)), fill=0)
+    return reshape.wider(visits(spark, sf_dir), ["record_id"], "redcap_event_name", EVENTS, F.max(F.lit(1)), fill=0)
 
 
 @query(
