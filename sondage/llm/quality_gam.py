@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondage.llm.quality_rules import SPACES, SYMBOLS, repeated_lines, repeated_words
-from sondage.llm.texts import remainder_of_id, rows_of, schema_with, with_text_bytes
+from sondage.llm.texts import remainder_of_id, rows_of, schema_with, smallest_hashes, with_text_bytes
 
 FEATURES = (
     "words",
@@ -214,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, params: Boosting = Boo
     An id with several labels takes the greatest; null ids and labels are left out.
     """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("double").alias("y"))
-    some = known.orderBy(F.xxhash64("_id"), "_id").limit(params.sample)
+    some = smallest_hashes(known, params.sample, "_id")
     read = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(some), F.col("_doc") == F.col("_id"))
     rows = measured(read, ["_doc", "y"], "_text").orderBy(F.xxhash64("_doc"), "_doc", "x").limit(params.sample).collect()
     if len({r["y"] for r in rows}) < 2:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import kept_table, remainder_of_id, rows_of, schema_with, space_words, with_text_bytes
+from sondage.llm.texts import kept_table, remainder_of_id, rows_of, schema_with, smallest_hashes, space_words, with_text_bytes
 
 WINDOWS_KEPT = 500_000
 GRAM = 5
@@ -167,8 +167,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, p: Distance,
     An id with several labels takes the greatest; null ids and labels are left out.
     """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("y"))
-    order = (F.xxhash64("_id"), F.col("_id"))
-    some = known.where("y = 1").orderBy(*order).limit(p.toxic).unionByName(known.where("y = 0").orderBy(*order).limit(p.ordinary))
+    some = smallest_hashes(known.where("y = 1"), p.toxic, "_id").unionByName(smallest_hashes(known.where("y = 0"), p.ordinary, "_id"))
     some = kept_table(some, "labelled")
     read = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(some), F.col("_doc") == F.col("_id"))
     half = F.pmod(F.xxhash64("_doc", F.lit("half")), F.lit(2)).cast("int").alias("half")
