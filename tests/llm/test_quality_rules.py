@@ -1,9 +1,12 @@
 """Quality rules against plain counts, and the compression bands."""
 
+import base64
 import random
 import re
 from collections import Counter
 
+import zstandard
+
 from sondage.llm import quality_rules as Q
 from tests.llm.conftest import prose
 
@@ -42,6 +45,29 @@ def test_bands_reject_repeats_and_noise_and_keep_prose(spark):
     assert not kept[4]
 
 
+def test_bands_reject_noise_at_every_size():
+    rng = random.Random(7)
+    pack, bands = zstandard.ZstdCompressor(level=3), Q.Bands()
+
+    def noise(n):
+        yield " ".join(base64.b64encode(rng.randbytes(rng.randint(3, 9))).decode() for _ in range(n // 4)).encode()[:n]
+        yield base64.b64encode(rng.randbytes(n))[:n]
+        yield " ".join("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3)) for _ in range(n // 9)).encode()[:n]
+        yield "".join(chr(rng.randrange(32, 127)) for _ in range(n)).encode()
+
+    for size in (256, 400, 600, 800, 1024, 1500, 2048, 3000, 6000, 20_000, 100_000):
+        for k, text in enumerate(noise(size)):
+            assert len(text) > 0.9 * size
+            assert not Q.band_verdict(text, pack, bands)[2], (size, k)
+
+
+def test_noise_of_the_list_above_is_not_kept(spark):
+    rng = random.Random(6)
+    noise = " ".join("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3)) for _ in range(400))
+    found = Q.score_rules(spark.createDataFrame([(3, noise)], "doc_id bigint, text string")).first()
+    assert not found["base_failed"] and not found["in_band"] and not found["kept"]
+
+
 def test_odd_documents(odd_docs, no_docs):
     found = Q.score_rules(odd_docs)
     assert found.count() == odd_docs.count()
