@@ -1,7 +1,7 @@
 """Quality rules: counts of words, symbols and repeats, and bands of zstandard ratios.
 
 The method's verdict is the compression band. A text is compressed whole and in fixed
-chunks; repetitive text compresses far better than prose of its length and noise far
+chunks that cover it to its end; repetitive text compresses far better than prose of its length and noise far
 worse, and both limits depend on the length because longer prose compresses better.
 """
 
@@ -32,7 +32,7 @@ class Bands:
     sizes the limits follow the logarithm of the size, beyond the last they stay. Texts
     under the first size have no least ratio, as the frame alone can outweigh them.
     Chunks of ``chunk_bytes`` keep to the limits of their size; ``chunks_outside`` is the
-    share of chunks that may lie outside.
+    share of bytes in chunks that may lie outside.
 
     The limits come from the texts of sf0.1 that are labelled quality 1 and meet the base
     rules, cut to each size (from 3,243 of them at 256 bytes to 19 at 16,384; beyond, 16
@@ -89,15 +89,26 @@ def repeated_lines(text: bytes) -> int:
 
 
 def band_verdict(text: bytes, pack: zstandard.ZstdCompressor, bands: Bands) -> tuple[float, float, bool]:
-    """Ratio of the whole text, share of full chunks outside their band, and whether both are in bounds."""
+    """Ratio of the whole text, share of its bytes in chunks outside their band, and whether both are in bounds.
+
+    What full chunks leave at the end is judged by the last full chunk that the text
+    holds, and counts with its own bytes; a text shorter than a chunk is one chunk.
+    """
     if not text:
         return 0.0, 0.0, False
     ratio = len(text) / len(pack.compress(text))
     least, most = bands.limits(len(text))
     size = bands.chunk_bytes
     low, high = bands.limits(size)
-    chunks = [size / len(pack.compress(text[k : k + size])) for k in range(0, len(text) - size + 1, size)]
-    outside = sum(not low <= c <= high for c in chunks) / max(1, len(chunks))
+    full = range(0, len(text) - size + 1, size)
+    weights = [size] * len(full)
+    chunks = [size / len(pack.compress(text[k : k + size])) for k in full]
+    if rest := len(text) % size:
+        weights.append(rest)
+        chunks.append(size / len(pack.compress(text[-size:])) if full else ratio)
+    if not full:
+        low, high = least, most
+    outside = sum(w for c, w in zip(chunks, weights, strict=True) if not low <= c <= high) / len(text)
     return ratio, outside, least <= ratio <= most and outside <= bands.chunks_outside
 
 

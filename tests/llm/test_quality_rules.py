@@ -68,6 +68,21 @@ def test_noise_of_the_list_above_is_not_kept(spark):
     assert not found["base_failed"] and not found["in_band"] and not found["kept"]
 
 
+def test_the_end_of_a_text_is_judged_too():
+    rng = random.Random(8)
+    syllables = ["an", "er", "tion", "the", "ou", "re", "st", "le", "in", "ka", "mo", "dri"]
+    prose_of = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n)).encode()[:n]
+    pack, bands = zstandard.ZstdCompressor(level=3), Q.Bands()
+    tail = b"the same words over and over "
+    assert Q.band_verdict(prose_of(3900), pack, bands)[1:] == (0.0, True)
+    ratio, outside, in_band = Q.band_verdict((prose_of(2048) + tail * 70)[:3900], pack, bands)
+    assert outside == 1852 / 3900 and not in_band
+    # Each chunk counts with its bytes: 100 left over are no third of the text.
+    assert Q.band_verdict(prose_of(4096) + tail * 3, pack, bands)[2]
+    # A short text is one chunk.
+    assert Q.band_verdict((tail * 60)[:1500], pack, bands)[1] == 1.0
+
+
 def test_odd_documents(odd_docs, no_docs):
     found = Q.score_rules(odd_docs)
     assert found.count() == odd_docs.count()
