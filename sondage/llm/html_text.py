@@ -2,8 +2,9 @@
 
 A tokenizer cuts the page into tags and text; a tree builder adds the tags that HTML
 implies (a paragraph ends where a block begins, a list item where the next one begins, a
-cell, row or table section likewise) and closes what an end tag leaves open; visibility
-rules drop what browsers do not show; the renderer keeps block spacing, list markers and
+cell, row or table section likewise, a head at the first thing that may not stand in it)
+and closes what an end tag leaves open; visibility rules drop what browsers do not show,
+in svg and math too; the renderer keeps block spacing, list markers and
 indents, preformatted text, and pads table cells to columns. The builder hands open and
 close events to the renderer, so pages of any depth need no recursion.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ from sondage.llm.texts import rows_of, schema_with, with_text_bytes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not markup; it ends at their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object audio video canvas datalist".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr xmp".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "html body address article aside center details dialog dd div dt figcaption footer form header hgroup legend li main menu nav option "
@@ -48,6 +49,22 @@ _CLOSES = {
     "body": (frozenset(["head"]), frozenset(["html"])),
 }
 _END_SCOPE = frozenset("table td th template html".split())
+#: All that a head may hold; any other start tag ends it.
+_IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
+#: Elements of svg and math that hold HTML again.
+_HTML_IN = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+#: Start tags of HTML that end an open svg or math.
+_LEAVES_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span "
+    "strong strike sub sup table tt u ul var".split()
+)
+#: What svg and math hold without showing it. Letters of svg show in text and foreignObject only.
+_UNSEEN_IN = {
+    "svg": frozenset("title desc metadata defs symbol style script clippath mask marker pattern lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+#: Foreign elements that stand apart from the text before and after.
+_APART = frozenset("svg text foreignobject mtr mtd".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -57,11 +74,17 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+_UNSHOWN = re.compile(r"(?:^|\s)(?:display\s*=\s*[\"']?none|visibility\s*=\s*[\"']?(?:hidden|collapse))", re.IGNORECASE)
+_VALUE_TO_END = re.compile(r"=\s*[^\s\"']*\Z")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """("text", "", text), ("open", tag, attributes) and ("close", tag, "")."""
+def tokens(page: str, foreign: Callable[[], bool]) -> Iterator[tuple[str, str, str]]:
+    """("text", "", text), ("open", tag, attributes) and ("close", tag, "").
+
+    ``foreign`` says whether the element opened last and still open belongs to svg or
+    math, where no element is raw and CDATA is text.
+    """
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -71,11 +94,16 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         if m.start() > at:
             yield "text", "", page[at : m.start()]
         at, tag = m.end(), (m["tag"] or "").lower()
+        if page.startswith("<![CDATA[", m.start()) and foreign():
+            stop = page.find("]]>", m.start())
+            yield "text", "", page[m.start() + 9 : stop if stop >= 0 else end].replace("&", "&amp;")
+            at = stop + 3 if stop >= 0 else end
+            continue
         if tag and m["end"]:
             yield "close", tag, ""
         elif tag:
             yield "open", tag, m["rest"]
-            if tag in RAW:
+            if tag in RAW and not foreign():
                 stop = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, at)
                 yield "raw", tag, page[at : stop.start() if stop else end]
                 at = stop.start() if stop else end
@@ -94,6 +122,11 @@ def hidden(tag: str, rest: str) -> bool:
     return False
 
 
+def self_closing(rest: str) -> bool:
+    """True if a start tag ends in a slash that is not part of an unquoted value."""
+    return rest.endswith("/") and not _VALUE_TO_END.search(rest)
+
+
 def width_of(text: str) -> int:
     """Columns a text takes: two for wide characters, none for combining ones."""
     if text.isascii():
@@ -185,9 +218,11 @@ class Renderer:
         self.unseen = 0
         self.kept = 0
         self.fresh = False  # a line end right after <pre> is not shown
+        self.lettered = True  # false inside svg, outside its text
+        self.outer: list[bool] = []
 
     def text(self, text: str) -> None:
-        if not self.unseen:
+        if not self.unseen and self.lettered:
             if self.fresh:
                 text = text.removeprefix("\r\n").removeprefix("\n")
             self.fresh = False
@@ -222,10 +257,31 @@ class Renderer:
         self.fresh = tag in ("pre", "textarea")
         return False
 
-    def close(self, tag: str, rest: str, unseen: bool) -> None:
+    def open_foreign(self, tag: str, rest: str, kind: str) -> bool:
+        """``open`` for an element of svg or math."""
+        self.outer.append(self.lettered)
+        self.lettered = kind == "math" or tag in ("text", "foreignobject") or self.lettered and tag != "svg"
+        if self.unseen or tag in _UNSEEN_IN[kind] or hidden("", rest) or kind == "svg" and _UNSHOWN.search(rest):
+            self.unseen += 1
+            return True
+        if tag in _APART:
+            self.apart()
+        return False
+
+    def apart(self) -> None:
+        if not self.unseen:
+            self.flows[-1].blank = True
+
+    def close(self, tag: str, rest: str, unseen: bool, kind: str = "") -> None:
+        if kind:
+            self.lettered = self.outer.pop()
+            if tag in _APART:
+                self.apart()
         if unseen:
             self.unseen -= 1
             return
+        if kind:
+            return
         if tag in ("pre", "textarea", "xmp"):
             if self.flows[-1].words:
                 self.flows[-1].end_line(keep=True)
@@ -270,13 +326,39 @@ class Renderer:
 def visible_text(page: str) -> str:
     """The page's visible text: lines without trailing spaces, blocks apart by one empty line."""
     out = Renderer()
-    opened: list[tuple[str, str, bool]] = []
+    opened: list[tuple[str, str, bool, str]] = []
     held: dict[str, int] = {}
+    begun = False  # a head can no longer start
+
+    def push(tag: str, rest: str, unseen: bool, kind: str = "") -> None:
+        opened.append((tag, rest, unseen, kind))
+        held[tag] = held.get(tag, 0) + 1
 
     def close_top() -> None:
-        tag, rest, unseen = opened.pop()
+        tag, rest, unseen, kind = opened.pop()
         held[tag] -= 1
-        out.close(tag, rest, unseen)
+        out.close(tag, rest, unseen, kind)
+
+    def foreign() -> bool:
+        return bool(opened and opened[-1][3])
+
+    def kind_of(tag: str) -> str:
+        """svg, math or "" for the kind of element that a start tag makes here."""
+        top, rest, _, kind = opened[-1] if opened else ("", "", False, "")
+        if kind and top not in _HTML_IN[kind]:
+            if top != "annotation-xml" or tag != "svg" and not re.search(r"encoding\s*=\s*[\"']?(?:text/html|application/xhtml\+xml)", rest, re.IGNORECASE):
+                return kind
+        elif kind == "math" and tag in ("mglyph", "malignmark"):
+            return kind
+        return tag if tag in ("svg", "math") else ""
+
+    def leave_foreign() -> None:
+        while foreign() and opened[-1][0] not in _HTML_IN[opened[-1][3]]:
+            close_top()
+
+    def end_head() -> None:
+        if opened and opened[-1][0] == "head":
+            close_top()
 
     def close_implied(closes: frozenset[str], bounds: frozenset[str]) -> None:
         """Closes the outermost of ``closes`` above the nearest bound."""
@@ -284,32 +366,55 @@ def visible_text(page: str) -> str:
             return
         last = None
         for k in range(len(opened) - 1, -1, -1):
-            if opened[k][0] in bounds:
+            if opened[k][0] in bounds or opened[k][3]:
                 break
             if opened[k][0] in closes:
                 last = k
         while last is not None and len(opened) > last:
             close_top()
 
-    for kind, tag, rest in tokens(page):
-        if kind == "text":
+    for event, tag, rest in tokens(page, foreign):
+        if event == "text":
+            if not _BLANK.fullmatch(rest):
+                end_head()
+                begun = True
             out.text(rest)
-        elif kind == "raw":
+        elif event == "raw":
             out.text(rest)
-        elif kind == "open":
+        elif event == "open":
+            if tag not in _IN_HEAD:
+                end_head()
+            if tag == "head" and begun:
+                continue
+            begun = begun or tag != "html"
+            kind = kind_of(tag)
+            if kind and tag not in ("svg", "math") and (tag in _LEAVES_FOREIGN or tag == "font" and re.search(r"(?:^|\s)(?:color|face|size)\s*=", rest, re.IGNORECASE)):
+                leave_foreign()
+                kind = ""
+            if kind:
+                if not self_closing(rest):
+                    push(tag, rest, out.open_foreign(tag, rest, kind), kind)
+                elif tag in _APART:
+                    out.apart()
+                continue
             if tag in BLOCKS and tag not in ("option", "optgroup"):
                 close_implied(frozenset(["p"]), _SCOPE | frozenset(["li", "dd"]))
             if tag in _CLOSES:
                 close_implied(*_CLOSES[tag])
             if tag in ("td", "th") and held.get("table") and not _inside(opened, "tr", "table"):
-                opened.append(("tr", "", out.open("tr", "")))
-                held["tr"] = held.get("tr", 0) + 1
+                push("tr", "", out.open("tr", ""))
             unseen = out.open(tag, rest)
             if tag in VOID:
                 continue
-            opened.append((tag, rest, unseen))
-            held[tag] = held.get(tag, 0) + 1
-        elif held.get(tag):
+            push(tag, rest, unseen)
+            continue
+        if event != "close":
+            continue
+        if tag in ("p", "br"):
+            leave_foreign()
+        if tag == "br":
+            end_head()
+        if held.get(tag):
             bounds = frozenset(["html", "template"]) if tag in ("table", "template", "html") else frozenset(["table", "template"]) if tag in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else _END_SCOPE
             for k in range(len(opened) - 1, -1, -1):
                 if opened[k][0] == tag:
@@ -327,8 +432,8 @@ def visible_text(page: str) -> str:
     return "\n".join(out.flows[0].result()).strip("\n")
 
 
-def _inside(opened: list[tuple[str, str, bool]], tag: str, bound: str) -> bool:
-    for name, _, _ in reversed(opened):
+def _inside(opened: list[tuple[str, str, bool, str]], tag: str, bound: str) -> bool:
+    for name, *_ in reversed(opened):
         if name == tag:
             return True
         if name == bound:

@@ -32,6 +32,25 @@ CASES = [
     ("a <", "a <"),
     ("1 < 2 <!-- open", "1 < 2"),
     ("<p>x</p >\r\n<p>y", "x\n\ny"),
+    # A head that nothing closes ends at the first thing that may not stand in it.
+    ("<html><head><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+    ("<head>\n<meta charset=x><title>T</title>\n text <b>more</b>", "text more"),
+    ("<head><style>x</style><script>y</script><noscript><p>n</p></noscript><template><p>t</p></template><a>link</a>", "link"),
+    ("<head><title>T</title></p></br>x", "x"),
+    ("<head><title>T</title></head>a<head><title>U</title>b", "ab"),
+    ("<p>a<head>b", "ab"),
+    # svg and math: slashes close, their text shows, what they define does not.
+    ("a <svg width='1'/> b <math/> c", "a b c"),
+    ("a<svg><path d='x'/><circle r=1 /></svg>b", "a b"),
+    ("<svg><g><text>one</text><text x=1>two<tspan> three</tspan></text></g></svg>four", "one two three four"),
+    ("<svg>loose<title>t</title><desc>d</desc><defs><text>s</text></defs><style>x</style><script/><title/><text>yes</text></svg>b", "yes b"),
+    ("<svg a=b/><text>in</text></svg>c", "in c"),
+    ("<svg><foreignObject><p>x<p>y</foreignObject><text>z</text></svg>", "x\n\ny\n\nz"),
+    ("<svg><path><p>out", "out"),
+    ("<svg><text display=none>h</text><text style='visibility:hidden'>i</text><text><![CDATA[a<b&amp;]]></text></svg>c<![CDATA[d]]>", "a<b&amp; c"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/><semantics><mi>y</mi><annotation>tex</annotation></semantics></math>.", "x=1y."),
+    ("<p>a<svg><text>b</p>c", "a b\n\nc"),
+    ("<svg hidden/><svg style='display:none'><text>h</text></svg>k", "k"),
 ]
 
 
