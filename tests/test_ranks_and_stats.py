@@ -121,6 +121,36 @@ def test_fisher_enumeration(table):
     assert dist.fisher_table(t, max_states=2) is None
 
 
+def test_fisher_of_many_cells_rows_and_states(frame):
+    """No size of a table changes the test; the expected count decides alone."""
+    for t in ([[3, 0, 2, 1], [1, 4, 1, 2], [0, 1, 3, 1]], [[9, 1, 0], [1, 8, 1], [0, 0, 7]]):
+        want = brute_fisher(np.array(t))
+        assert dist.fisher_table(np.array(t)) == pytest.approx(want)
+        assert dist.fisher_table(np.array(t), block=5) == pytest.approx(want)
+
+    def two_rows(t):
+        """Every table of 2 x 3 by its two free counts."""
+        (r1, _), c = map(int, t.sum(axis=1)), [int(v) for v in t.sum(axis=0)]
+        log = lambda x: math.lgamma(x + 1)
+        one = lambda x, k: -log(x) - log(c[k] - x)
+        all_p = [one(r1 - b - d, 0) + one(b, 1) + one(d, 2) for b in range(c[1] + 1) for d in range(c[2] + 1) if 0 <= r1 - b - d <= c[0]]
+        seen, top = sum(one(int(v), k) for k, v in enumerate(t[0])), max(all_p)
+        return sum(math.exp(p - top) for p in all_p if p <= seen + 1e-7) / sum(math.exp(p - top) for p in all_p)
+
+    table = np.array([[2500, 30, 9], [2450, 41, 1]])
+    assert table.sum() > 5000
+    want = two_rows(table)
+    assert dist.fisher_table(table) == pytest.approx(want)
+    rows = [("ab"[i], "xyz"[j]) for (i, j), n in np.ndenumerate(table) for _ in range(n)]
+    got = stats.categorical_test(frame("g string, v string", *rows), ["v"], "g").first()
+    assert (got["test"], got["p_value"]) == ("fisher", pytest.approx(want))
+
+    # 2 x 40 is more than 64 cells: each level once, so every table is as likely.
+    rows = [("ab"[k % 2], f"l{k}") for k in range(40)]
+    got = stats.categorical_test(frame("g string, v string", *rows), ["v"], "g").first()
+    assert (got["test"], got["p_value"]) == ("fisher", pytest.approx(1.0))
+
+
 def test_tails_at_any_number_of_rows():
     """Against the limits and their first correction in 1 / df."""
     normal = math.erfc(1.96 / math.sqrt(2))
