@@ -333,6 +333,17 @@ def intraclass_correlation(spark, sf_dir):
     return rounded(rounded(out, 5, ("icc",)), 3, ("var_record", "var_residual"))
 
 
+@query("intraclass_correlation_unbalanced")
+def intraclass_correlation_unbalanced(spark, sf_dir):
+    """All visits of all participants, whatever number each has."""
+    rows = visits(spark, sf_dir).select(
+        "record_id",
+        F.expr("CASE WHEN timepoint % 2 = 0 THEN 'mdc' ELSE 'pcc' END").alias("type"),
+        (F.col("score") + F.col("record_id") % 7 * 20).alias("score"),
+    )
+    return mixed.intraclass_correlation(rows, "record_id", "type", "score", ["mdc", "pcc"])
+
+
 @query("understanding_contrast_of_forms")
 def understanding_contrast_of_forms(spark, sf_dir):
     scored = patient.understanding(view(spark, sf_dir, "patient"))

@@ -300,3 +300,24 @@ def test_statistics_ignore_row_order(frame):
         lambda d: ranks.deciles(d, "v").select(*[F.round(c, 9) for c in ["p10", "p50", "p90"]]),
     ):
         assert rows(run(one)) == rows(run(two))
+
+
+def test_intraclass_correlation_of_unbalanced_records(frame):
+    """Against the dense likelihood on a grid; records with one answer count."""
+    answers = {1: [3.0, 4.0, 3.5], 2: [8.0], 3: [6.0, 7.5], 4: [1.0, 2.0, 1.5, 2.5], 5: [5.0], 6: [9.0, 8.0]}
+    rows = [(r, "ab"[k % 2], y) for r, ys in answers.items() for k, y in enumerate(ys)]
+    got = mixed.intraclass_correlation(frame("r int, g string, y double", *rows), "r", "g", "y", ["a", "b"]).first()
+    y = np.array([v for ys in answers.values() for v in ys])
+    who = np.repeat(list(answers), [len(v) for v in answers.values()])
+    same, n = (who[:, None] == who[None, :]).astype(float), len(y)
+
+    def minus_twice_log(share):
+        v = share * same + (1 - share) * np.eye(n)
+        inv, one = np.linalg.inv(v), np.ones(n)
+        rest = y - (one @ inv @ y) / (one @ inv @ one)
+        return np.linalg.slogdet(v)[1] + np.log(one @ inv @ one) + (n - 1) * np.log(rest @ inv @ rest)
+
+    grid = np.linspace(0, 0.9999, 10_001)
+    want = grid[int(np.argmin([minus_twice_log(s) for s in grid]))]
+    assert (got["n_records"], got["n_answers"]) == (6, 13)
+    assert got["icc"] == pytest.approx(want, abs=2e-4)
