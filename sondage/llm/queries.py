@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sondage.llm import (
     decontamination,
     html_text,
+    language_id,
     near_dedup,
     packing,
     pii,
@@ -186,3 +187,9 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by compression distance."""
     return _predicted(toxicity.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.7)
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by naive Bayes over hashed character n-grams."""
+    return language_id.learn_and_predict(table(spark, sf_dir, "documents"))
