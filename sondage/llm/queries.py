@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondage.llm import (
+    centroid_clusters,
     decontamination,
     html_text,
     language_id,
@@ -193,3 +194,40 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by naive Bayes over hashed character n-grams."""
     return language_id.learn_and_predict(table(spark, sf_dir, "documents"))
+
+
+def _rounds_in_sql(rounds: int = 10) -> str:
+    """The clustering contract, a pair of subqueries for each round."""
+    near = """a{k} AS MATERIALIZED (
+  SELECT vec_id, min(cluster) AS cluster, min(d) AS distance FROM (
+    SELECT vec_id, cluster, d, min(d) OVER (PARTITION BY vec_id) AS least FROM (
+      SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{k} c ON v.i = c.i GROUP BY vec_id, cluster))
+  WHERE d = least GROUP BY vec_id)"""
+    move = """c{n} AS MATERIALIZED (
+  SELECT c.cluster, c.i, CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+  FROM c{k} c LEFT JOIN (
+    SELECT cluster, i, sum(x) AS s, count(*) AS n FROM v JOIN a{k} a ON v.vec_id = a.vec_id GROUP BY cluster, i) m
+  ON m.cluster = c.cluster AND m.i = c.i)"""
+    steps = [f"{near.format(k=k)},\n{move.format(k=k, n=k + 1)}" for k in range(rounds)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS MATERIALIZED (
+  SELECT vec_id, i, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM kept, unnest(range(1, 65)) AS r(i)),
+c0 AS MATERIALIZED (
+  SELECT cluster, i, x FROM v JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM kept
+    QUALIFY cluster < 8) f ON v.vec_id = f.vec_id),
+{(","+chr(10)).join(steps)},
+{near.format(k=rounds)}
+SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN (SELECT cluster, sha256(string_agg(x, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster) h ON h.cluster = a.cluster
+"""
+
+
+@query(_rounds_in_sql())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings, exact in whole numbers."""
+    return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
