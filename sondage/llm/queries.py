@@ -21,6 +21,7 @@ from sondage.llm import (
     spans,
     toxicity,
     url_filter,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,3 +232,9 @@ FROM a{rounds} a JOIN (SELECT cluster, sha256(string_agg(x, ',' ORDER BY i)) AS
 def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all embeddings, exact in whole numbers."""
     return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
