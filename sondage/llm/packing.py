@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ from sondage.llm.texts import with_text_bytes
 
 #: Punctuation after which a sentence may end.
 SENTENCE_ENDS = (".", "!", "?", ";", ":", "。", "！", "？", "…")
-#: Words remembered by one Python worker, with their ids.
-WORDS_KEPT = 1_000_000
 #: Bytes of text encoded at once.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 3 << 20
+#: Bytes that remembered units may take, at some ``UNIT_BYTES`` each besides their characters.
+KEPT_BYTES, UNIT_BYTES = 48 << 20, 150
 
 
 @dataclass(frozen=True)
@@ -50,17 +51,28 @@ class Packing:
 
 
 class WordIds:
-    """Ids of texts by way of their distinct words, each of which the tokenizer sees once.
-
-    The tokenizer drops white space and treats what lies between as units, so the ids of
-    a text are those of its words in turn. Texts with the opening of a special token go
-    to the tokenizer whole.
+    """Ids of texts by way of their distinct units, each of which is encoded once for all texts at hand.
+
+    The tokenizer drops white space and merges only inside units: a run of letters, a
+    single digit, a run of other characters, or an English ending after an apostrophe. To
+    which of these a character belongs is asked of the tokenizer when the character is
+    first met. Texts for which that is not enough go to the tokenizer whole: those with the
+    opening of a special token, with characters that are not composed, or with some that
+    become several when lower-cased. Units are remembered until they take ``KEPT_BYTES``. A
+    unit's memory in the tokenizer is some 80 bytes for each character.
     """
 
+    SPACE, LETTER, DIGIT, OTHER, ODD = 1, 2, 3, 4, 5
+
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.normalizer = normalizers.Lowercase()
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.ends = np.array(
             [str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(self.tokenizer.get_vocab_size())]
         )
@@ -69,96 +81,167 @@ class WordIds:
             ids = self._whole(mark)
             if len(ids) == 1:
                 self.sentence_ends[ids] = True
-        self.stop = {mark: self._whole(mark)[0] for mark in (".", ",")}
+        self.kinds = np.zeros(0x110000, np.int8)
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.bytes_kept = 0
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        """Places of the units in ``size``; those not known yet are encoded."""
+        if self.bytes_kept > KEPT_BYTES:
+            self._forget()
+        get = self.number.get
+        number = np.fromiter((get(w, -1) for w in units), np.int64, len(units))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            words = [units[k] for k in new.tolist()]
+            flat, size = self._encoded(words)
+            number[new] = np.arange(len(self.size), len(self.size) + len(words))
+            self.number.update(zip(words, number[new].tolist(), strict=True))
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+            self.bytes_kept += sum(map(len, words)) + UNIT_BYTES * len(words)
+        return number
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _add(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
-        """Words with their ids laid end to end."""
-        self.number.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def _spread(self, n: np.ndarray, extra: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places in the pool of the words ``n`` in turn, where each word ends, and sizes, with room for ``extra`` ids after each."""
-        size = self.size[n] + extra
-        ends = np.cumsum(size)
-        return np.repeat(self.start[n] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0), ends, size
-
-    def _learn(self, words: list[str]) -> None:
-        """Adds words. Those of letters only are encoded in one run and told apart by word
-        ends; a full stop or comma after an ASCII letter or digit is a unit of its own."""
-        stopped: dict[str, list[str]] = {mark: [] for mark in self.stop}
-        bare = set()
-        for w in words:
-            if w[-1:] in self.stop and w[-2:-1].isalnum() and w[-2].isascii():
-                stopped[w[-1]].append(w)
-                bare.add(w[:-1])
-            else:
-                bare.add(w)
-        bare -= self.number.keys()
-        letters = [w for w in bare if w.isalpha()]
-        rest = [w for w in bare if not w.isalpha()]
-        for first in range(0, len(letters), 20_000):
-            some = letters[first : first + 20_000]
-            ids = self._whole(" ".join(some))
+    def _kind(self, code: int) -> int:
+        one = self.tokenizer.normalizer.normalize_str(chr(code))
+        if one == " ":
+            return self.SPACE
+        if len(one) != 1:
+            return self.ODD
+        units = lambda x: len(self.tokenizer.pre_tokenizer.pre_tokenize_str(x))
+        return self.LETTER if units(f"a{one}a") == 1 else self.OTHER if units(f"!{one}!") == 1 else self.DIGIT
+
+    def _kinds_of(self, codes: np.ndarray) -> np.ndarray:
+        found = self.kinds[codes]
+        if not found.all():
+            for code in np.unique(codes[found == 0]).tolist():
+                self.kinds[code] = self._kind(code)
+            found = self.kinds[codes]
+        return found
+
+    def _unit_starts(self, codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Whether a unit, or white space, begins at each character (lower case in A-Z)."""
+        new = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == self.DIGIT))
+        at = np.flatnonzero((codes == ord("'")) & new)
+        at = at[at + 3 < len(codes)]  # the text ends with a separator
+        at = at[kind[at + 1] == self.LETTER]
+        if len(at):
+            first, second = codes[at + 1], codes[at + 2]
+            one = np.isin(first, [ord(c) for c in "stmd"])
+            two = np.zeros(len(at), bool)
+            for pair in ("re", "ve", "ll"):
+                two |= (first == ord(pair[0])) & (second == ord(pair[1]))
+            new[at[one | two] + 1] = False
+            for some, size in ((one, 2), (two, 3)):
+                after = at[some] + size
+                new[after] |= kind[after] == self.LETTER
+        return new
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units laid end to end, and the number of each."""
+        lines = [words[k : k + 1000] for k in range(0, len(words), 1000)]
+        flat, sizes = [], []
+        for line, e in zip(lines, self.plain.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some):
-                self._add(some, ids, np.diff(ends, prepend=0))
+            if len(ends) == len(line):
+                flat.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
             else:
-                rest += some
-        each = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-        self._add(rest, np.array([i for e in each for i in e], np.uint32), np.fromiter(map(len, each), np.int64, len(each)))
-        for mark, ws in stopped.items():
-            n = np.fromiter((self.number[w[:-1]] for w in ws), np.int64, len(ws))
-            places, ends, size = self._spread(n, extra=1)
-            places[ends - 1] = 0
-            flat = self.flat[places] if len(self.flat) else np.zeros(0, np.uint32)
-            flat[ends - 1] = self.stop[mark]
-            self._add(ws, flat, size)
-
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the strings, each text's followed by ``end_id``, and the number of ids of each text."""
-        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.number) + len(words) > WORDS_KEPT:
-            self._forget()
-        get = self.number.get
-        number = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        new = np.flatnonzero(number < 0).tolist()
-        if new:
-            self._learn([words[k] for k in new])
-            number[new] = [self.number[words[k]] for k in new]
-        n = number[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-        places, ends, _ = self._spread(n)
-        ids = self.flat[places] if len(self.flat) else np.zeros(0, np.uint32)
-        offsets = split.offsets.to_numpy().astype(np.int64)
-        edges = np.concatenate([[0], ends])[offsets - offsets[0]]
-        if len(special):
-            parts = np.split(ids, edges[1:-1])
-            for k in special.tolist():
-                parts[k] = self._whole(texts[k].as_py())
-            edges = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-            ids = np.concatenate(parts)
-        return np.insert(ids, edges[1:], end_id), np.diff(edges) + 1
+                each = [self._whole(w) for w in line]
+                flat += each
+                sizes.append(np.array([len(x) for x in each]))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts laid end to end, and the number of each."""
+        blob = (b"\n".join(texts) + b"\n").lower()
+        edges = np.cumsum([len(t) + 1 for t in texts])
+        text = blob.decode()
+        codes = np.frombuffer(blob, np.uint8) if len(text) == len(blob) else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kind = self._kinds_of(codes)
+        new = self._unit_starts(codes, kind)
+        solid = kind != self.SPACE
+        if len(text) == len(blob):
+            begin, kept = np.flatnonzero(new), solid
+        else:
+            width = (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000) + np.int8(1)
+            after = np.cumsum(width, dtype=np.int32)
+            begin, kept = after[new] - width[new], np.repeat(solid, width)
+        inside = solid[new]
+        size = np.diff(begin, append=len(blob))[inside]
+        begin = begin[inside]
+        data = np.frombuffer(blob, np.uint8)[kept]
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        number = self._numbers(units.dictionary.to_pylist())
+        n = number[units.indices.to_numpy()] if len(number) else number
+        size = self.size[n]
+        ends = np.cumsum(size)
+        first = np.cumsum(self.size) - self.size
+        ids = self.flat[np.repeat(first[n] - ends + size, size) + np.arange(ends[-1])] if len(n) else np.zeros(0, np.uint32)
+        cuts = np.concatenate([[0], ends])[np.searchsorted(begin, edges)]
+        odd = set(np.searchsorted(edges, after[kind == self.ODD]).tolist()) if len(text) != len(blob) else set()
+        if b"<|" in blob:
+            odd |= {k for k, t in enumerate(texts) if b"<|" in t}
+        if len(text) != len(blob) and not is_normalized("NFC", text):
+            odd |= {k for k, t in enumerate(texts) if not is_normalized("NFC", t.decode())}
+        if odd:
+            parts = np.split(ids, cuts[:-1])
+            for k in odd:
+                parts[k] = self._whole(texts[k].decode())
+            return np.concatenate(parts), np.array([len(x) for x in parts])
+        return ids, np.diff(cuts, prepend=0)
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each text.
+
+        Bytes that are no UTF-8 count as U+FFFD. A text longer than ``TEXT_BYTES`` is
+        encoded in pieces between spaces.
+        """
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        few: list[bytes] = []
+        held = 0
+        for t in texts:
+            if not t.isascii():
+                t = t.decode("utf-8", "replace").encode()
+            if held + len(t) > TEXT_BYTES and few:
+                done.append(self._some(few))
+                few, held = [], 0
+            if len(t) > TEXT_BYTES:
+                parts = [self._some([piece])[0] for piece in pieces(t, TEXT_BYTES)]
+                done.append((np.concatenate(parts), np.array([sum(map(len, parts))])))
+            else:
+                few.append(t)
+                held += len(t)
+        if few:
+            done.append(self._some(few))
+        if not done:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids, sizes = (np.concatenate(x) for x in zip(*done, strict=True))
+        return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
+
+
+def pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut after spaces."""
+    at = 0
+    while at < len(text):
+        end = text.find(b" ", at + size) + 1 or len(text)
+        yield text[at:end]
+        at = end
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
 def word_ids(path: str) -> WordIds:
-    """One tokenizer per Python worker."""
+    """One tokenizer per Python worker; what it holds does not grow."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordIds(path)
     return _TOKENIZERS[path]
@@ -277,11 +360,11 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, p: Packing, schema: pa.S
     gathered, held = [], 0
     for batch in batches:
         names = batch.column("doc_id").to_pylist()
-        texts = batch.column("text").cast(pa.string())
+        texts = batch.column("text")
         size = np.cumsum(pc.binary_length(texts).to_numpy())
-        cuts = np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1  # many texts at once: fewer distinct words
+        cuts = np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1  # many texts at once: fewer distinct units
         for k, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
-            new, count = words.encode(texts[k:end], p.end_id)
+            new, count = words.encode(texts[k:end].to_pylist(), p.end_id)
             gathered.append(new)
             held += len(new)
             sizes += count.tolist()

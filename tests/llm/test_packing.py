@@ -5,7 +5,6 @@ import zlib
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,7 +88,7 @@ WORDS = packing.WordIds(tokenizer_path())
 @given(st.lists(st.text(alphabet=st.sampled_from("abC'sreve .,\n\t!?-<|>éÉ́ßİ漢12  "), max_size=40), min_size=1, max_size=4))
 def test_words_give_the_same_ids_as_whole_texts(texts):
     texts = [*texts, "<|endoftext|> and <|ENDOFTEXT|>"]
-    ids, sizes = WORDS.encode(pa.array(texts, pa.string()), 2)
+    ids, sizes = WORDS.encode([t.encode() for t in texts], 2)
     expected = [[*WORDS.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == expected
 
@@ -121,3 +120,29 @@ def test_crc_in_the_query(spark):
 
     row = packing.pack(docs, tokenizer_path()).select(F.crc32("ids").alias("c"), "ids").first()
     assert row["c"] == zlib.crc32(bytes(row["ids"]))
+
+
+def test_long_texts_are_encoded_in_pieces(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_BYTES", 64)
+    rng = random.Random(3)
+    texts = ["", *(" ".join(rng.choice(["It's", "Ünïcode", "x1y2", "漢字。", "don't.", "İx", "<|endoftext|>"]) for _ in range(n)) for n in (3, 40, 7, 200)), "y" * 500]
+    ids, sizes = WORDS.encode([t.encode() for t in texts], 2)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [plain_ids(tokenizer, t) for t in texts]
+    assert b"".join(packing.pieces(b"ab cd  ef", 2)) == b"ab cd  ef"
+
+
+def test_bytes_that_are_no_text_and_a_long_token(tokenizer):
+    long = "1+Ab/" * 400_000
+    ids, sizes = WORDS.encode([b"ab\xffcd", long.encode()], 2)
+    assert ids[: sizes[0]].tolist() == plain_ids(tokenizer, "ab\ufffdcd")
+    assert ids[sizes[0] :].tolist() == plain_ids(tokenizer, "1+Ab/" * 10)[:-1] * 40_000 + [2]
+
+
+def test_blocks_are_carried_on(spark, tokenizer):
+    """Documents planned in many small blocks are covered like those planned at once."""
+    rng = random.Random(4)
+    texts = [(k, " ".join(rng.choice(["alpha", "beta.", "gamma", "x1"]) for _ in range(rng.choice([0, 1, 30, 700, 3000])))) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1)
+    pieces = packing.pack(docs, tokenizer_path(), packing.Packing(length=128, block=500)).collect()
+    expected, got = check(pieces, texts, tokenizer, 128)
+    assert got == expected
