@@ -9,14 +9,12 @@ go through a join on the windows, with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import alphanumeric_words, lower_ascii, rows_of, schema_with, unpacked, whole_rows, with_text_bytes
+from sondage.llm.texts import alphanumeric_words, found_in, lower_ascii, unpacked, whole_rows, with_text_bytes
 
 WINDOW = 13
 #: Texts of test items up to this many bytes are collected and broadcast.
@@ -88,21 +86,19 @@ def find_in_batch(texts: list[bytes], index: ItemWindows) -> tuple[list[int], li
 def _broadcast_hits(docs: DataFrame, items: list[tuple[str, bytes]], width: int) -> DataFrame:
     index = docs.sparkSession.sparkContext.broadcast(ItemWindows(items, width))
     names = [c for c in docs.columns if c != "text"]
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in rows_of(batches):
-            counts, spans, found = [], [], []
+    def make():
+        def find(texts: list[bytes]) -> list[dict]:
+            out = []
             for k in range(0, len(texts), 512):
-                for out, part in zip((counts, spans, found), find_in_batch(texts[k : k + 512], index.value), strict=True):
-                    out += part
-            spans = pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], kind)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + [pa.array(counts, pa.int64()), spans, pa.array(found, pa.list_(pa.string()))],
-                names=[*names, "n_words", "hits", "items"],
-            )
+                for count, spans, found in zip(*find_in_batch(texts[k : k + 512], index.value), strict=True):
+                    out.append({"n_words": count, "hits": [{"first": a, "last": b} for a, b in spans], "items": found})
+            return out
 
-    return docs.mapInArrow(find, schema_with(docs, HITS))
+        return find
+
+    found = docs.select(*names, found_in(F.col("text"), HITS, make).alias("_found"))
+    return found.select(*names, *[F.col("_found")[c].alias(c) for c in ("n_words", "hits", "items")])
 
 
 def _windows(words: Column, size: Column) -> Column:
@@ -130,14 +126,16 @@ def _joined_hits(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     cut = rows.crossJoin(F.broadcast(sizes))  # at most ``width`` sizes
     cut = cut.select("row_key", "size", F.explode(_windows(F.col("words"), F.col("size"))).alias("w"))
     found = cut.select("row_key", "size", F.col("w.at").alias("at"), F.col("w.window").alias("window")).join(grams, ["window", "size"])
-    items_of = found.select("row_key", F.explode("owners").alias("item")).groupBy("row_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    # a window's items are taken once per document, however often it occurs there
+    once = found.groupBy("row_key", "window", "size").agg(F.first("owners").alias("owners"))
+    items_of = once.select("row_key", F.explode("owners").alias("item")).groupBy("row_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
     covered = (
         found.select("row_key", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("at"))
         .groupBy("row_key")
         .agg(F.sort_array(F.collect_set(F.col("at").cast("bigint"))).alias("covered"))
     )
-    starts = F.filter("covered", lambda x: ~F.array_contains("covered", x - 1))
-    lasts = F.filter("covered", lambda x: ~F.array_contains("covered", x + 1))
+    starts = F.filter("covered", lambda x, i: F.coalesce(F.get("covered", i - 1) != x - 1, F.lit(True)))
+    lasts = F.filter("covered", lambda x, i: F.coalesce(F.get("covered", i + 1) != x + 1, F.lit(True)))
     covered = covered.select("row_key", F.arrays_zip(starts.alias("first"), lasts.alias("last")).alias("hits"))
     return (
         keyed.withColumn("n_words", F.size(words).cast("bigint"))
@@ -205,14 +203,15 @@ def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", **option
     # pieces[2k] lies before word k, pieces[2k + 1] is word k
     whole = F.col("_row")[text]
     parts = F.arrays_zip(F.split(whole, _ANY_WORD, -1).alias("gap"), F.regexp_extract_all(whole, F.lit(_ANY_WORD), 0).alias("word"))
-    inside = lambda i: F.exists("hits", lambda h: (h["first"] <= i) & (i <= h["last"]))
-    after = lambda i: F.exists("hits", lambda h: (h["first"] < i) & (i <= h["last"]))
-    pieces = F.transform(
-        parts,
-        lambda x, i: F.concat(
-            F.when(after(i), F.lit("")).otherwise(x["gap"]),
-            F.when(inside(i), F.lit("")).otherwise(F.coalesce(x["word"], F.lit(""))),
+    # what stays lies between one hit's last word and the next one's first, or the end
+    starts = F.concat(F.array(F.lit(0)), F.transform("hits", lambda h: (h["last"] + 1).cast("int")))
+    ends = F.concat(F.transform("hits", lambda h: h["first"].cast("int")), F.array(F.size("_parts") - 1))
+    stays = F.transform(
+        F.arrays_zip(starts.alias("start"), ends.alias("end")),
+        lambda s: F.concat(
+            F.array_join(F.transform(F.slice("_parts", s["start"] + 1, s["end"] - s["start"]), lambda x: F.concat(x["gap"], x["word"])), ""),
+            F.get("_parts", s["end"])["gap"],
         ),
     )
-    cut = F.when(F.size("hits") > 0, F.array_join(pieces, "")).otherwise(whole)
-    return unpacked(marked, docs.columns, **{text: cut})
+    marked = marked.withColumn("_parts", F.when(F.size("hits") > 0, parts))
+    return unpacked(marked, docs.columns, **{text: F.when(F.size("hits") > 0, F.array_join(stays, "")).otherwise(whole)})

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from sondage.llm.texts import kept_table, rows_of, space_words, with_text_bytes
 
-WORDS_KEPT = 500_000
+#: Bytes that remembered words may take in a task, at some ``WORD_BYTES`` each besides their own.
+KEPT_BYTES, WORD_BYTES = 24 << 20, 150
 
 
 @dataclass(frozen=True)
@@ -54,16 +55,17 @@ class Hamming:
 class _WordHashes(dict):
     """64-bit hashes of words; forgets all when full."""
 
+    held = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
+        if self.held > KEPT_BYTES:
             self.clear()
+            self.held = 0
+        self.held += len(word) + WORD_BYTES
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
 
 
-_HASHES = _WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finalizer on 64 bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -71,11 +73,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+def shingle_set(words: list[bytes], size: int, known: _WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; fewer words make one shingle."""
     if not words:
         return np.zeros(0, np.uint64)
-    known = _HASHES
     h = np.fromiter((known[w] for w in words), np.uint64, len(words))
     size = min(size, len(words))
     total = np.zeros(len(words) - size + 1, np.uint64)
@@ -106,11 +107,12 @@ def signatures(docs: DataFrame, p: Hamming, doc_id: str, text: str) -> DataFrame
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.uint64((1 << p.bits) - 1)  # the high bits of a minimum are nearly always zero
+        known = _WordHashes()
         for batch, texts in rows_of(batches):
             folds, sizes, signs = [], [], []
             for t in texts:
                 words = space_words(t)
-                found = shingle_set(words, p.words)
+                found = shingle_set(words, p.words, known)
                 folds.append(words_hash(words) if words else None)
                 sizes.append(len(found))
                 signs.append((minimums(found, p.symbols) & low).astype(np.int32).tolist() if words else None)
@@ -127,10 +129,11 @@ def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     """words_hash and the set of shingle hashes of each text (bytes under ``text``)."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
         for _, rows in rows_of(batches):
             for k in range(0, len(rows), 500):
                 words = [space_words(t) for t in rows[k : k + 500]]
-                sets = [shingle_set(w, size).view(np.int64) for w in words]
+                sets = [shingle_set(w, size, known).view(np.int64) for w in words]
                 edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([pa.array(map(words_hash, words), pa.binary()), values], names=["node", "shingles"])

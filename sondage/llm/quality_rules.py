@@ -8,16 +8,14 @@ worse, and both limits depend on the length because longer prose compresses bett
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.texts import rows_of, schema_with, unpacked, whole_rows, with_text_bytes
+from sondage.llm.texts import found_in, unpacked, whole_rows
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -133,7 +131,6 @@ MEASURES = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "ratio double, chunks_outside double, in_band boolean"
 )
-_KINDS = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()]
 
 
 def score_rules(
@@ -148,18 +145,14 @@ def score_rules(
     empty and fails. Rows are judged one by one: ties, repeated rows and null ids change
     nothing, and an empty table gives an empty result.
     """
-    read = with_text_bytes(docs, keep, text)
     names = [n.split(" ")[0] for n in MEASURES.split(", ")]
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         packer = zstandard.ZstdCompressor(level=bands.level)
-        for batch, texts in rows_of(batches):
-            columns = zip(*(measure(t, packer, bands) for t in texts), strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=[*keep, *names]
-            )
+        return lambda texts: [dict(zip(names, measure(t, packer, bands), strict=True)) for t in texts]
 
-    scored = read.mapInArrow(judge, schema_with(read, MEASURES))
+    scored = docs.select(*[F.col(c) for c in keep], found_in(F.col(text), MEASURES, make).alias("_found"))
+    scored = scored.select(*[F.col(c) for c in keep], *[F.col("_found")[n].alias(n) for n in names])
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & F.col("in_band"))
 

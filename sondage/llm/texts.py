@@ -8,11 +8,12 @@ whole, which is what the operators ask for.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from sondage.session import shared_folder
@@ -44,6 +45,23 @@ def whole_rows(docs: DataFrame, text: str, *more: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *[F.col(c).alias(f"_{k}") for k, c in (("text", text), *((m, m) for m in more))])
 
 
+def found_in(text: Column, ddl: str, make: Callable[[], Callable[[list[bytes]], list[dict]]]) -> Column:
+    """A struct for each text, by a function of lists of texts that ``make`` builds once per task.
+
+    Only the texts cross to Python; the other columns of a row wait for them in Spark. A
+    null text is empty.
+    """
+    kind = pa.struct(to_arrow_schema(StructType.fromDDL(ddl)))
+
+    @F.arrow_udf(StructType.fromDDL(ddl))
+    def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = make()
+        for texts in columns:
+            yield pa.array(judge(texts.to_pylist()), kind)
+
+    return find(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def unpacked(frame: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     """The columns of ``_row``, some of them changed."""
     return frame.select(*[changed[c].alias(c) if c in changed else F.col("_row")[c].alias(c) for c in columns])
