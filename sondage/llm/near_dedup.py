@@ -157,25 +157,45 @@ def near_in_size(p: Hamming, a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= p.percent * F.greatest(a, b)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the Jaccard distance of their sets, one less the similarity, and what it is made of."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * shared >= p.percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    both = both.withColumn("shared", F.size(F.array_intersect("sa", "sb"))).withColumn("either", F.size("sa") + F.size("sb") - F.col("shared"))
+    return both.withColumn("distance", 1 - F.col("shared") / F.col("either")).drop("sa", "sb")
 
 
-def residue_pairs(nodes: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
-    """Pairs (a, b) of nodes of different components that may still be similar enough.
+def confirmed(pairs: DataFrame, sets: DataFrame, p: Hamming, *keep: str) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity, with other columns named."""
+    return distances(pairs, sets).where(100 * F.col("shared") >= p.percent * F.col("either")).select("a", "b", *keep)
+
+
+#: Nodes of a component that are paired in the first rounds; the last round takes all.
+ROUNDS = (16, 64, 256)
+
+
+def residue_links(nodes: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
+    """Links (a, b) that join all components of the nodes that any similar pair of nodes joins.
 
     No pair is missed: shingles are ordered from rare to common, and two sets whose overlap
     is large enough share a shingle so early in this order that as much of both is left
     (prefix and positional filters). Entries of one shingle are first grouped by component,
-    size and position, so that a shingle of a whole component is one row of each kind; only
-    pairs of groups that can reach the overlap are turned into pairs of nodes.
+    size and position, so that a shingle of a whole component is one row of each kind. The
+    Jaccard distance is a metric: nodes that are ``r`` and ``q`` from the leaders of their
+    components are at least as far apart as the leaders less ``r + q``. The leaders of two
+    components that meet are compared once, and only groups, and in them nodes, for which
+    that bound leaves room are turned into pairs. Two components need one link: pairs of few
+    nodes of each, drawn by hash, are confirmed first, and further pairs only of components
+    without a link so far, in the end all of them.
     """
     bag = kept_table(sets.dropDuplicates(["node"]).join(nodes, "node"), "bags")
+    leaders = kept_table(bag.groupBy("component").agg(F.min("node").alias("leader"), F.count("*").alias("members")), "leaders")
+    place = (F.xxhash64("node", F.lit("turn")) / F.lit(2.0**64) + 0.5) * F.col("members")
+    turn = sum((place >= n).cast("int") for n in ROUNDS)
+    members = bag.select("node", "component").join(leaders, "component").select(F.col("node").alias("a"), F.col("leader").alias("b"), turn.alias("turn"))
+    away = distances(members, bag.select("node", "shingles"))
+    away = kept_table(away.select(F.col("a").alias("node"), F.col("distance").alias("r"), "turn"), "distances")
     shingles = bag.select("node", F.explode("shingles").alias("s"))
     holders = F.struct(F.bit_xor(F.xxhash64("node")), F.min(F.xxhash64(F.lit("least"), "node")))
     common = kept_table(shingles.groupBy("s").agg(F.count("*").alias("n"), holders.alias("holders")).where("n > 1"), "frequency")
@@ -188,19 +208,40 @@ def residue_pairs(nodes: DataFrame, sets: DataFrame, p: Hamming) -> DataFrame:
     entry = order.join(bag.select("node", "component"), "node").withColumn("size", F.size("order"))
     entry = entry.select("node", "component", "size", F.posexplode(F.slice("order", 1, F.col("size") * (100 - p.percent) / 100 + 1)).alias("at", "o"))
     entry = entry.where(F.col("o.lead") & (100 * left >= p.percent * F.col("size"))).select("node", "component", "size", "at", F.col("o.s").alias("s"))
-    entry = kept_table(entry, "entries")
-    kind = entry.groupBy("s", "component", "size", "at").agg(F.count("*").alias("n"))
+    entry = kept_table(entry.join(away, "node"), "entries")
+    kind = entry.groupBy("s", "component", "size", "at").agg(F.max("r").alias("r"))
     several = kind.groupBy("s").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("s")
-    kind = kept_table(kind.join(several, "s").select("s", "component", "size", "at"), "kinds")
-    small = kind.where((100 + p.percent) * left >= 2 * p.percent * F.col("size")).select("s", F.struct("component", "size", "at").alias("x"))
-    large = kind.select("s", F.struct("component", "size", "at").alias("y"))
+    kind = kept_table(kind.join(several, "s").select("s", "component", "size", "at", "r"), "kinds")
+    small = kind.where((100 + p.percent) * left >= 2 * p.percent * F.col("size")).select("s", F.struct("component", "size", "at").alias("x"), F.col("r").alias("rx"))
+    large = kind.select("s", F.struct("component", "size", "at").alias("y"), F.col("r").alias("ry"))
     overlap = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
     may = (F.col("x.component") != F.col("y.component")) & (F.col("x.size") <= F.col("y.size"))
     may &= (100 + p.percent) * overlap >= p.percent * (F.col("x.size") + F.col("y.size"))
-    met = small.join(large, (small["s"] == large["s"]) & may).select(small["s"].alias("s"), "x", "y")
-    of = lambda name, end: entry.select("s", F.struct("component", "size", "at").alias(end), F.col("node").alias(name))
-    pairs = met.join(of("a", "x"), ["s", "x"]).join(of("b", "y"), ["s", "y"])
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    met = kept_table(small.join(large, (small["s"] == large["s"]) & may).select(small["s"].alias("s"), "x", "y", "rx", "ry"), "met")
+    lead_of = lambda end: leaders.select(F.col("component").alias(f"c{end}"), F.col("leader").alias(end))
+    meeting = met.select(F.col("x.component").alias("ca"), F.col("y.component").alias("cb")).distinct()
+    meeting = distances(meeting.join(lead_of("a"), "ca").join(lead_of("b"), "cb"), bag.select("node", "shingles")).drop("a", "b")
+    # what the distance of the leaders leaves for the two nodes, with room for rounding
+    meeting = kept_table(meeting.select("ca", "cb", (F.col("distance") - (1 - p.percent / 100) - 1e-9).alias("least")), "meeting")
+    near = met.join(meeting, (F.col("x.component") == F.col("ca")) & (F.col("y.component") == F.col("cb")) & (F.col("rx") + F.col("ry") >= F.col("least")))
+    near = kept_table(near.select("s", "x", "y", "least", "ry", "ca", "cb"), "near")
+
+    def of(name: str, end: str, most: int) -> DataFrame:
+        whole = F.struct("component", "size", "at").alias(end)
+        return entry.where(F.col("turn") <= most).select("s", whole, F.col("node").alias(name), F.col("r").alias(f"r{name}"), F.col("turn").alias(f"t{name}"))
+
+    links: DataFrame | None = None
+    for k in range(len(ROUNDS) + 1):
+        open_ = near
+        if links is not None:
+            open_ = near.join(links.select("ca", "cb").distinct(), ["ca", "cb"], "left_anti")
+        pairs = open_.join(of("a", "x", k), ["s", "x"]).where(F.col("ra") + F.col("ry") >= F.col("least"))
+        room = (F.col("ra") + F.col("rb") >= F.col("least")) & (F.greatest("ta", "tb") == k)
+        pairs = pairs.join(of("b", "y", k), ["s", "y"]).where(room)
+        pairs = pairs.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.first("ca").alias("ca"), F.first("cb").alias("cb"))
+        found = kept_table(confirmed(pairs, sets, p, "ca", "cb"), "confirmed")
+        links = found if links is None else links.unionByName(found)
+    return links.select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -265,12 +306,13 @@ def group(docs: DataFrame, params: Hamming = Hamming(), doc_id: str = "doc_id",
         spread = labelled.groupBy("bucket").agg(F.min(member).alias("low"), F.max(member).alias("high"))
         split = labelled.join(spread.where("low.component <> high.component"), "bucket")
         if last:
-            pairs = residue_pairs(kept_table(split.select("node", "component").distinct(), "residue"), sets, p)
+            found = residue_links(kept_table(split.select("node", "component").distinct(), "residue"), sets, p)
         else:
             pairs = split.withColumn("end", F.explode(F.array("low", "high"))).where("component <> end.component")
             pairs = pairs.where(near_in_size(p, "n_shingles", "end.n_shingles"))
             pairs = pairs.select(F.greatest("node", "end.node").alias("a"), F.least("node", "end.node").alias("b")).distinct()
-        links = links.unionByName(kept_table(confirmed(pairs, sets, p), "confirmed"))
+            found = kept_table(confirmed(pairs, sets, p), "confirmed")
+        links = links.unionByName(found)
     found = components(links)
     named = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -283,5 +325,5 @@ def group(docs: DataFrame, params: Hamming = Hamming(), doc_id: str = "doc_id",
 
 def keep_one(docs: DataFrame, params: Hamming = Hamming(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each group, all columns as they were; rows of one id stay or go together."""
-    dropped = group(docs, params, doc_id, text).where("not kept").select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(dropped, F.col(doc_id) == F.col("_dropped_id"), "left_anti")
+    dropped = group(docs, params, doc_id, text).where("not kept").select(F.col("doc_id").alias(doc_id)).distinct()
+    return docs.join(dropped, docs[doc_id] == dropped[doc_id], "left_anti")

@@ -113,3 +113,36 @@ def test_components_of_stars_chains_and_rings(spark):
     expected = sorted((k, find(k)) for k in {x for a, b in links if a != b for x in (a, b)})
     got = sorted(map(tuple, N.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert got == expected
+
+
+def test_rounds_lose_no_link_of_large_groups(spark, monkeypatch):
+    """Two groups of near copies and texts at their edge give the components of all pairs, whatever is tried first."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(60)]
+
+    def edited(words, n):
+        words = list(words)
+        for k in rng.sample(range(len(words)), n):
+            words[k] = f"e{rng.randrange(10**9)}"
+        return " ".join(words)
+
+    half = base[:45] + [f"v{k}" for k in range(15)]
+    rows = [(k, edited(base if k % 2 else half, rng.choice([0, 1, 2, 3]))) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {k: {tuple(w[i : i + 4]) for i in range(len(w) - 3)} for k, w in ((k, t.split()) for k, t in rows)}
+    group = {k: k for k in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                old, new = sorted((group[a], group[b]), reverse=True)
+                group = {k: new if g == old else g for k, g in group.items()}
+    for rounds in ((16, 64, 256), (1,)):
+        monkeypatch.setattr(N, "ROUNDS", rounds)
+        got = {r["doc_id"]: r["component_id"] for r in N.group(docs, N.Hamming(words=4, chunks=2)).collect()}
+        assert got == group
+
+
+def test_one_of_each_group_stays_whatever_columns_are_called(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7), (2, "a b c d e f", 8), (None, None, 9)], "doc_id bigint, text string, _dropped_id bigint")
+    kept = N.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r["_dropped_id"] for r in kept.collect()) == [7, 9]
