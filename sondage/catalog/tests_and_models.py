@@ -255,6 +255,66 @@ def linear_model_one_factor(spark, sf_dir):
     return rounded(out, 6, ("p_value",))
 
 
+#: 97.5 percent point of the normal distribution, and of t around it in powers of 1 / df.
+_Z = 1.959963984540054
+
+
+def t_point_sql(df: str) -> str:
+    """Half-width of a 95 percent interval in standard errors, for many degrees of freedom."""
+    z = _Z
+    terms = [
+        z,
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    ]
+    return "(" + " + ".join(f"{c!r} / POWER({df}, {k})" for k, c in enumerate(terms)) + ")"
+
+
+@query(
+    "marginal_means_with_intervals",
+    f"""WITH {_GROUPS}, s AS (SELECT level, n, mean, SQRT(ssw / df / n) AS se, df FROM g, w)
+    SELECT level, n, ROUND(mean, 3) AS mean, ROUND(se, 3) AS se, df, ROUND(mean - se * {t_point_sql('df')}, 2) AS low,
+      ROUND(mean + se * {t_point_sql('df')}, 2) AS high FROM s""",
+)
+def marginal_means_with_intervals(spark, sf_dir):
+    out = stats.marginal_means(
+        table(spark, sf_dir, "orders"), "o_totalprice", "o_orderstatus", ["F", "O", "P"], confidence=0.95
+    )
+    return rounded(rounded(out, 3, ("mean", "se")), 2, ("low", "high"))
+
+
+@query(
+    "pairwise_contrasts_with_intervals",
+    f"""WITH {_GROUPS}, p AS (SELECT x.level || ' - ' || y.level AS contrast, x.mean - y.mean AS estimate,
+        SQRT(ssw / df * (1 / x.n + 1 / y.n)) AS se, df FROM g x JOIN g y ON x.level < y.level, w)
+    SELECT contrast, ROUND(estimate, 3) AS estimate, ROUND(se, 3) AS se, df, ROUND(estimate / se, 6) AS statistic,
+      ROUND({t_sql('estimate / se', 'df')}, 6) AS p_value, ROUND(estimate - se * {t_point_sql('df')}, 2) AS low,
+      ROUND(estimate + se * {t_point_sql('df')}, 2) AS high FROM p""",
+)
+def pairwise_contrasts_with_intervals(spark, sf_dir):
+    out = stats.pairwise_contrasts(
+        table(spark, sf_dir, "orders"), "o_totalprice", "o_orderstatus", ["F", "O", "P"], adjust="none", confidence=0.95
+    )
+    out = rounded(rounded(out, 3, ("estimate", "se")), 6, ("statistic", "p_value"))
+    return rounded(out, 2, ("low", "high"))
+
+
+@query(
+    "linear_model_with_intervals",
+    f"""WITH {_GROUPS}, m AS (SELECT 'o_orderstatus_' || x.level AS term, x.mean - y.mean AS estimate,
+        SQRT(ssw / df * (1 / x.n + 1 / y.n)) AS se, df FROM g x, g y, w WHERE y.level = 'F' AND x.level <> 'F'
+      UNION ALL SELECT '(Intercept)', mean, SQRT(ssw / df / n), df FROM g, w WHERE level = 'F')
+    SELECT term, ROUND(estimate, 3) AS estimate, ROUND(se, 3) AS se, ROUND(estimate - se * {t_point_sql('df')}, 2) AS low,
+      ROUND(estimate + se * {t_point_sql('df')}, 2) AS high FROM m""",
+)
+def linear_model_with_intervals(spark, sf_dir):
+    out = stats.linear_model(table(spark, sf_dir, "orders"), "o_totalprice", ["o_orderstatus"], confidence=0.95)
+    out = out.drop("statistic", "p_value")
+    return rounded(rounded(out, 3, ("estimate", "se")), 2, ("low", "high"))
+
+
 @query("linear_model_several_terms")
 def linear_model_several_terms(spark, sf_dir):
     joined = table(spark, sf_dir, "orders").join(
@@ -307,6 +367,23 @@ def random_intercept_contrast(spark, sf_dir):
     return rounded(rounded(out, 1, ("df",)), 3, ("var_record", "var_residual"))
 
 
+@query(
+    "random_intercept_means",
+    f"""WITH {_PAIRS}, f AS (SELECT *, SQRT((within + between) / n) AS se, CASE WHEN inner_fit
+        THEN (n - 1) * POWER(vs + vd, 2) / (vs * vs + vd * vd) ELSE 2 * n - 2 END AS df,
+        (SELECT AVG(a) FROM p) AS ma, (SELECT AVG(b) FROM p) AS mb FROM u),
+      l AS (SELECT 'mdc' AS level, ma AS mean, * FROM f UNION ALL SELECT 'pcc', mb, * FROM f)
+    SELECT level, ROUND(mean, 6) AS mean, ROUND(se, 4) AS se, ROUND(df, 1) AS df,
+      ROUND(mean - se * {t_point_sql('df')}, 4) AS low, ROUND(mean + se * {t_point_sql('df')}, 4) AS high,
+      ROUND(between, 3) AS var_record, ROUND(within, 3) AS var_residual, n AS n_records, 2 * n AS n_answers FROM l""",
+)
+def random_intercept_means(spark, sf_dir):
+    """Estimated means of both kinds in the mixed model, with their intervals."""
+    out = mixed.random_intercept_means(_paired(spark, sf_dir), "record_id", "type", "score", ["mdc", "pcc"])
+    out = rounded(rounded(out, 6, ("mean",)), 4, ("se", "low", "high"))
+    return rounded(rounded(out, 1, ("df",)), 3, ("var_record", "var_residual"))
+
+
 @query("random_intercept_contrast_unbalanced")
 def random_intercept_contrast_unbalanced(spark, sf_dir):
     """All visits: even ones of one kind of clinic, odd ones of the other, so that kinds and participants differ in number."""

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -310,29 +310,47 @@ def _level_row(df: DataFrame, value: str, by: str, levels: Sequence[str]) -> Dat
     )
 
 
-def marginal_means(df: DataFrame, value: str, by: str, levels: Sequence[str]) -> DataFrame:
-    """Group means with standard errors from the pooled residual variance."""
+def _with_interval(df: DataFrame, estimate: str, half: Column) -> DataFrame:
+    """``low`` and ``high``, ``half`` standard errors from the estimate."""
+    half = F.col("se") * half
+    return df.withColumns({"low": F.col(estimate) - half, "high": F.col(estimate) + half})
+
+
+def marginal_means(
+    df: DataFrame, value: str, by: str, levels: Sequence[str], confidence: float | None = None
+) -> DataFrame:
+    """Group means with standard errors from the pooled residual variance.
+
+    With a ``confidence`` such as 0.95, ``low`` and ``high`` are the ends of the interval.
+    """
     rows = F.array(
         *[
             F.struct(F.lit(lv).alias("level"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"))
             for i, lv in enumerate(levels)
         ]
     )
-    return (
+    out = (
         _level_row(df, value, by, levels)
         .select(F.explode(rows).alias("r"), "df", "mse")
         .select("r.level", "r.n", "r.mean", F.sqrt(F.col("mse") / F.col("r.n")).alias("se"), "df")
         .where("n > 0")
     )
+    return out if confidence is None else _with_interval(out, "mean", dist.q_t(F.lit(confidence), "df"))
 
 
 def pairwise_contrasts(
-    df: DataFrame, value: str, by: str, levels: Sequence[str], adjust: str = "tukey"
+    df: DataFrame,
+    value: str,
+    by: str,
+    levels: Sequence[str],
+    adjust: str = "tukey",
+    confidence: float | None = None,
 ) -> DataFrame:
     """Differences of the level means, from one row of level moments.
 
     ``p_value`` is adjusted for all pairs by the studentised range, or plain with
-    ``adjust="none"``.
+    ``adjust="none"``. With a ``confidence``, ``low`` and ``high`` are the ends of the
+    interval, adjusted in the same way: it leaves out 0 where ``p_value`` is small enough.
     """
     pairs = [
         F.struct(
@@ -354,15 +372,26 @@ def pairwise_contrasts(
         "tukey": lambda: dist.p_tukey(F.abs("statistic") * F.sqrt(F.lit(2.0)), "used", "df"),
         "none": lambda: dist.p_t("statistic", "df"),
     }[adjust]()
-    return out.withColumn("p_value", p).drop("used")
-
-
-def linear_model(df: DataFrame, outcome: str, terms: Sequence[str]) -> DataFrame:
+    out = out.withColumn("p_value", p)
+    if confidence is not None:
+        level = F.lit(confidence)
+        half = {
+            "tukey": lambda: dist.q_tukey(level, "used", "df") / F.sqrt(F.lit(2.0)),
+            "none": lambda: dist.q_t(level, "df"),
+        }[adjust]()
+        out = _with_interval(out, "estimate", half)
+    return out.drop("used")
+
+
+def linear_model(
+    df: DataFrame, outcome: str, terms: Sequence[str], confidence: float | None = None
+) -> DataFrame:
     """Least squares with text terms as treatment contrasts.
 
     The first level in alphabetical order is the reference. Rows with a missing
     value in a used column are left out. Returns term, estimate, se, statistic,
-    p_value; fitting is one pass that sums the normal equations on the executors.
+    p_value, and with a ``confidence`` the ends low and high of the interval; fitting is
+    one pass that sums the normal equations on the executors.
     """
     spark = df.sparkSession
     rows = df.select(*[F.col(quoted(c)) for c in (outcome, *terms)]).dropna()
@@ -387,9 +416,12 @@ def linear_model(df: DataFrame, outcome: str, terms: Sequence[str]) -> DataFrame
         map(float, info.tValues),
         map(float, info.pValues),
     )
-    return spark.createDataFrame(
+    out = spark.createDataFrame(
         list(table), "term string, estimate double, se double, statistic double, p_value double"
     )
+    if confidence is None:
+        return out
+    return _with_interval(out, "estimate", F.lit(dist.t_quantile(confidence, float(info.degreesOfFreedom))))
 
 
 def group_tests(

@@ -321,3 +321,76 @@ def test_intraclass_correlation_of_unbalanced_records(frame):
     want = grid[int(np.argmin([minus_twice_log(s) for s in grid]))]
     assert (got["n_records"], got["n_answers"]) == (6, 13)
     assert got["icc"] == pytest.approx(want, abs=2e-4)
+
+
+@pytest.mark.parametrize("mean, apart", [(0.0, 1.0), (1e9, 1.0), (-3e7, 0.02), (5.0, 300.0), (1e6, 1e5)])
+def test_random_intercept_at_any_mean_and_ratio(frame, mean, apart):
+    """The fit of answers moved far away, or of records far apart, is that of a dense likelihood on plain ones."""
+    rng = np.random.default_rng(3)
+    level, noise = rng.normal(size=40), rng.normal(size=(40, 3))
+    data, plain = [], []
+    for i in range(40):
+        for k in range(1 + i % 3):
+            z = round(float(apart * level[i] + (0.5 if k == 1 else 0) + noise[i, k]), 6)
+            data.append((i, "ab"[k % 2], mean + (1000.0 if k % 2 else 0.0) + z))
+            plain.append((i, "ab"[k % 2], z))
+    df = frame("r int, item string, v double", *data)
+    got = mixed.random_intercept_contrasts(df, "r", "item", "v", ["a", "b"]).first()
+    ys = np.array([y for *_, y in plain])
+    who, item = np.array([i for i, *_ in plain]), np.array([g for _, g, _ in plain])
+    x = np.stack([np.ones(len(ys)), item == "b"], 1).astype(float)
+    same = (who[:, None] == who[None, :]).astype(float)
+
+    def at(v):
+        inv = np.linalg.inv(np.eye(len(ys)) + np.exp(v) * same)
+        a = x.T @ inv @ x
+        beta = np.linalg.solve(a, x.T @ inv @ ys)
+        rest = ys - x @ beta
+        s2 = rest @ inv @ rest / (len(ys) - 2)
+        return (len(ys) - 2) * np.log(s2) - np.linalg.slogdet(inv)[1] + np.linalg.slogdet(a)[1], beta, s2, a
+
+    low, high = -25.0, 28.0
+    for _ in range(9):
+        grid = np.linspace(low, high, 15)
+        best = int(np.argmin([at(v)[0] for v in grid]))
+        low, high = grid[max(0, best - 1)], grid[min(14, best + 1)]
+    _, beta, s2, a = at((low + high) / 2)
+    ratio = np.exp((low + high) / 2)
+    assert got["estimate"] == pytest.approx(-beta[1] - 1000, abs=2e-5 * max(1, abs(mean) / 1e8))
+    assert got["se"] == pytest.approx(math.sqrt(s2 * np.linalg.inv(a)[1, 1]), rel=2e-4)
+    assert got["var_residual"] == pytest.approx(s2, rel=1e-3)
+    if ratio > 1e-4:
+        assert got["var_record"] == pytest.approx(ratio * s2, rel=5e-3)
+
+
+def test_random_intercept_without_anything_to_fit(frame):
+    schema = "r int, item string, v double"
+    for data in ([(1, "a", None)], [(1, "a", 1.0), (1, "b", 2.0)], [(1, "a", 1.0), (2, "a", 2.0)], [(k, "ab"[k % 2], float(k % 2)) for k in range(9)]):
+        df = frame(schema, *data)
+        assert mixed.random_intercept_contrasts(df, "r", "item", "v", ["a", "b"]).count() == 0
+        assert mixed.random_intercept_means(df, "r", "item", "v", ["a", "b"]).count() == 0
+
+
+def test_quantiles_invert_the_tails():
+    for df in (1, 3.5, 30, 4000):
+        for confidence in (0.5, 0.95, 0.999):
+            assert dist.t_two_sided(dist.t_quantile(confidence, df), df) == pytest.approx(1 - confidence, rel=1e-6)
+    assert dist.t_quantile(0.95, 10) == pytest.approx(2.228139, abs=1e-6)
+    assert dist.tukey_quantile(0.95, 3, 20) == pytest.approx(3.578, abs=1e-3)
+
+
+def test_intervals_hold_what_the_p_values_say(frame):
+    rng = random.Random(8)
+    df = frame("v double, g string", *[(rng.gauss("abc".index(g) * 0.6, 1), g) for g in "abc" for _ in range(25)])
+    for adjust in ("tukey", "none"):
+        for r in stats.pairwise_contrasts(df, "v", "g", ["a", "b", "c"], adjust, confidence=0.95).collect():
+            assert (r["p_value"] < 0.05) == (not r["low"] <= 0 <= r["high"])
+    plain = {r["contrast"]: r for r in stats.pairwise_contrasts(df, "v", "g", ["a", "b"], "none", confidence=0.9).collect()}
+    adjusted = {r["contrast"]: r for r in stats.pairwise_contrasts(df, "v", "g", ["a", "b"], confidence=0.9).collect()}
+    # two levels: one pair, so nothing to adjust for
+    assert plain["a - b"]["low"] == pytest.approx(adjusted["a - b"]["low"], rel=1e-6)
+    means = stats.marginal_means(df, "v", "g", ["a", "b", "c"], confidence=0.95).collect()
+    assert all(r["low"] < r["mean"] < r["high"] for r in means)
+    fit = {r["term"]: r for r in stats.linear_model(df, "v", ["g"], confidence=0.95).collect()}
+    pair = stats.pairwise_contrasts(df, "v", "g", ["b", "a", "c"], "none", confidence=0.95).first()
+    assert fit["g_b"]["low"] == pytest.approx(pair["low"], rel=1e-6)
