@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fixed
 from ..operators import mixed, stats
 from ..plans import patient, records, report
 from .registry import query
 from .scores import DOMAINS_CTE, person_domains
-from .standins import cte, table, view, visits, visits_cte
+from .standins import cte, pick, table, view, visits, visits_cte
 from .summaries import REPORT, report_check, rounded
 
 PI = "3.141592653589793"
@@ -481,3 +482,56 @@ def need_domain_tests(spark, sf_dir):
     joined = person_domains(spark, sf_dir).join(groups, "arb_person_id")
     out = stats.categorical_test(joined, records.DOMAINS, "grp")
     return rounded(out, 5, ("statistic", "p_value")).select("variable", "n", "statistic", "p_value")
+
+
+_AGES = [age for ages in fixed.RECORD_AGE_GROUPS.values() for age in ages]
+_SEX = "CASE WHEN p_size % 2 = 0 THEN 'female' ELSE 'male' END"
+
+
+def _people(spark, sf_dir):
+    """A person for each part, with the demographics of a health record."""
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias(records.PATIENT),
+        F.expr(pick(f"p_partkey % {len(_AGES) + 2}", _AGES)).alias("Pt_Age"),
+        F.expr(_SEX).alias("Pt_Sex"),
+        F.lit(None).cast("string").alias("Pt_Insurance_type"),
+    )
+
+
+_BANDS = " ".join(
+    f"WHEN age IN ({', '.join(repr(a) for a in ages)}) THEN '{band}'" for band, ages in fixed.RECORD_AGE_GROUPS.items()
+)
+_PEOPLE = f"""{DOMAINS_CTE}, r AS (SELECT 'P' || p_partkey AS id, {_SEX} AS sex, {pick(f'p_partkey % {len(_AGES) + 2}', _AGES)} AS age
+    FROM part),
+  j AS (SELECT d.*, sex, CASE {_BANDS} ELSE '{fixed.RECORD_AGE_DEFAULT}' END AS band FROM domains d JOIN r ON arb_person_id = id)"""
+
+
+def _share_parts(by: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{d}' AS variable, COALESCE({by}, 'Overall') AS "group", COUNT(*) FILTER ({d} = 1) AS n, COUNT({d}) AS total
+        FROM j WHERE {by} IS NOT NULL GROUP BY GROUPING SETS (({by}), ())"""
+        for d in records.DOMAINS
+    )
+
+
+@query(
+    "need_domains_by_sex",
+    f"""WITH {_PEOPLE}, s AS ({_share_parts('sex')}),
+      c AS ({' UNION ALL '.join(chi_parts('j', d, 'sex') for d in records.DOMAINS)})
+    SELECT s.variable, "group", s.n, total, ROUND({chi2_sql('x', 1)}, 5) AS p_value FROM s JOIN c ON s.variable = c.variable""",
+)
+def need_domains_by_sex(spark, sf_dir):
+    """Share of people with each need by sex, with the test over the groups."""
+    joined = records.with_people(person_domains(spark, sf_dir), _people(spark, sf_dir)).where("Pt_Sex is not null")
+    out = records.domain_table(joined, "Pt_Sex")
+    return rounded(out.select("variable", "group", "n", "total", "p_value"), 5, ("p_value",))
+
+
+@query(
+    "need_domains_by_age",
+    f"""WITH {_PEOPLE} {_share_parts('band')}""",
+)
+def need_domains_by_age(spark, sf_dir):
+    """Share of people with each need by age band, bands being sets of the record's own age groups."""
+    joined = records.with_people(person_domains(spark, sf_dir), _people(spark, sf_dir)).where("Pt_Sex is not null")
+    return records.domain_table(joined, "Pt_Age").select("variable", "group", "n", "total")
