@@ -14,7 +14,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -180,31 +183,77 @@ class Flow:
         return self.lines
 
 
+def attributes(rest: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; of equal names the first counts."""
+    return {name.lower(): "".join(values) for name, *values in reversed(_ATTRIBUTE.findall(rest))}
+
+
+def reach(value: str, most: int) -> int | None:
+    """The whole number an attribute starts with, at most ``most``; None without one."""
+    digits = re.match(r"[ \t\r\n\f]*\+?([0-9]+)", value)
+    return min(most, int(digits[1][:9])) if digits else None
+
+
+@dataclass(frozen=True)
+class Cell:
+    """``wide`` columns by ``deep`` rows; 0 rows reach to the end of the section."""
+
+    lines: list[str]
+    wide: int
+    deep: int
+
+
 class Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[Cell]] = []
+        self.sections: set[int] = set()  # rows that begin one
         self.caption: list[str] = []
 
+    def placed(self) -> list[list[tuple[int, Cell]]]:
+        """Cells of each row with their first column, which is the next that no cell of a row above reaches into.
+
+        No cell reaches past its section. Cells that overlap because of their width stay where they begin.
+        """
+        out: list[list[tuple[int, Cell]]] = []
+        free_from: list[float] = []  # by column, the row from which no earlier cell is in it
+        for number, row in enumerate(self.rows):
+            if number in self.sections:
+                free_from = []
+            column, cells = 0, []
+            for cell in row:
+                while column < len(free_from) and free_from[column] > number:
+                    column += 1
+                free_from += [0] * (column + cell.wide - len(free_from))
+                if cell.deep != 1:
+                    below = number + cell.deep if cell.deep else inf
+                    for k in range(column, column + cell.wide):
+                        free_from[k] = max(free_from[k], below)
+                cells.append((column, cell))
+                column += cell.wide
+            out.append(cells)
+        return out
+
     def lines(self) -> list[str]:
-        """Cells side by side, padded to the width of their column; a cell of several lines stays beside its row."""
+        """Cells side by side, padded to the width of their column; a cell of several lines stays beside the first row it is in."""
+        rows = self.placed()
         widths: list[int] = []
-        for row in self.rows:
-            column = 0
-            for cell, span in row:
-                widths += [0] * (column + span - len(widths))
-                if span == 1:
-                    widths[column] = max([widths[column], *map(width_of, cell)])
-                column += span
+        for row in rows:
+            for column, cell in row:
+                widths += [0] * (column + cell.wide - len(widths))
+                if cell.wide == 1:
+                    widths[column] = max([widths[column], *map(width_of, cell.lines)])
+        begins = [0, *accumulate(w + 2 for w in widths)]
         out = list(self.caption)
-        for row in self.rows:
-            for k in range(max((len(cell) for cell, _ in row), default=0)):
-                line, column = "", 0
-                for cell, span in row:
-                    text = cell[k] if k < len(cell) else ""
-                    wide = sum(widths[column : column + span]) + 2 * (span - 1)
-                    line += text + " " * (wide - width_of(text) + 2)
-                    column += span
-                out.append(line.rstrip(" "))
+        for row in rows:
+            for k in range(max((len(cell.lines) for _, cell in row), default=0)):
+                line, at = [], 0
+                for column, cell in row:
+                    text = cell.lines[k] if k < len(cell.lines) else ""
+                    if text:
+                        gap = max(begins[column] - at, 2 if at else 0)
+                        line += [" " * gap, text]
+                        at += gap + width_of(text)
+                out.append("".join(line).rstrip(" "))
         return out
 
 
@@ -246,10 +295,12 @@ class Renderer:
         if tag == "table":
             self.tables.append(Table())
         elif tag in ("ul", "ol", "menu"):
-            start = dict((n.lower(), "".join(v)) for n, *v in _ATTRIBUTE.findall(rest)).get("start", "")
+            start = attributes(rest).get("start", "")
             self.lists.append([int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1] if tag == "ol" else [None])
         elif tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
+        elif tag in ("thead", "tbody", "tfoot") and self.tables:
+            self.tables[-1].sections.add(len(self.tables[-1].rows))
         elif tag in ("li", "td", "th", "caption", "dd", "blockquote"):
             self.flows.append(Flow())
         if tag in ("pre", "textarea", "xmp"):
@@ -291,6 +342,8 @@ class Renderer:
             self._placed(tag, rest, lines)
         elif tag in ("ul", "ol", "menu"):
             self.lists.pop()
+        elif tag in ("thead", "tbody", "tfoot") and self.tables:
+            self.tables[-1].sections.add(len(self.tables[-1].rows))
         elif tag == "table":
             lines = self.tables.pop().lines()
             self.flows[-1].end_line()
@@ -304,10 +357,11 @@ class Renderer:
 
     def _placed(self, tag: str, rest: str, lines: list[str]) -> None:
         if tag in ("td", "th") and self.tables:
-            span = re.search(r"colspan\s*=\s*[\"']?([0-9]{1,4})", rest, re.IGNORECASE)
             if not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
-            self.tables[-1].rows[-1].append((lines, max(1, min(1000, int(span[1]))) if span else 1))
+            given = attributes(rest)
+            deep = reach(given.get("rowspan", ""), 65_534)
+            self.tables[-1].rows[-1].append(Cell(lines, reach(given.get("colspan", ""), 1000) or 1, 1 if deep is None else deep))
             return
         if tag == "caption" and self.tables:
             self.tables[-1].caption += lines

@@ -17,6 +17,16 @@ CASES = [
     ("<table><tr><td>x<br>y<td>z</table>", "x  z\ny"),
     ("<table><tr><td>漢字<td>1<tr><td>ab<td>2</table>", "漢字  1\nab    2"),
     ("<table><caption>c<tr><td>1<td>2<tr><td colspan=2>wide cell</table>", "c\n1  2\nwide cell"),
+    # Cells that reach into rows below push later cells to the right, within their section.
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+    ("<table><tr><td>a<td rowspan='2'>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b  c\nd     e\nf  g"),
+    ("<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "ab    c\n      d\ne  f  g"),
+    ("<table><tr><td rowspan=0>A<td>B<tr><td>C<tr><td>D</table>", "A  B\n   C\n   D"),
+    ("<table><thead><tr><th rowspan=3>H<th>I<tbody><tr><td>x<td>y</table>", "H  I\nx  y"),
+    ("<table><tbody><tr><td rowspan=3>H<td>I</tbody><tr><td>x<td>y</table>", "H  I\nx  y"),
+    ("<table><tr><td data-rowspan=2 data-colspan=3>A<td>B<tr><td>C</table>", "A  B\nC"),
+    ("<table><tr><td rowspan=-1 colspan=0>A<td>B<tr><td rowspan=x>C</table>", "A  B\nC"),
+    ("<table><tr><td colspan=2>wider than both<td>c<tr><td>1<td>2<td>3</table>", "wider than both  c\n1  2  3"),
     ("<table><tr><td><table><tr><td>in<td>ner</table><td>out</table>", "in  ner  out"),
     ("<script>if (a<b) x()</script>a<style>p{}</style><!-- c -->b<title>t</title>", "ab"),
     ("<div hidden>x</div><p style='color:red; display : none'>y</p><i style='visibility:hidden'>z</i>ok", "ok"),
