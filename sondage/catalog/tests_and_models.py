@@ -120,6 +120,34 @@ def fisher_exact_test(spark, sf_dir):
     return rounded(out, 6, ("p_value",))
 
 
+_BY_LANGUAGE = """x AS (SELECT lang, quality, toxic FROM labels JOIN documents USING (doc_id)),
+  t AS (SELECT 'quality' AS variable, quality AS v, lang FROM x UNION ALL SELECT 'toxic', toxic, lang FROM x),
+  c AS (SELECT variable, lang, COUNT(*) AS c, COUNT(*) FILTER (v = 1) AS o FROM t
+    WHERE v IS NOT NULL AND lang IS NOT NULL GROUP BY ALL),
+  k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY variable ORDER BY lang) AS j,
+    SUM(c) OVER (PARTITION BY variable ORDER BY lang DESC) - c AS later FROM c),
+  m AS (SELECT variable, SUM(c) AS n, SUM(o) AS r, MAX(j) AS cols,
+    SUM(LGAMMA(c + 1) - LGAMMA(o + 1) - LGAMMA(c - o + 1)) AS seen FROM k GROUP BY variable),
+  f AS (SELECT variable, CAST(0 AS BIGINT) AS j, CAST(r AS BIGINT) AS free, CAST(0 AS DOUBLE) AS lp FROM m
+    UNION ALL
+    SELECT variable, j, CAST(free - x AS BIGINT), lp + LGAMMA(c + 1) - LGAMMA(x + 1) - LGAMMA(c - x + 1) FROM (
+      SELECT f.variable, k.j, f.free, f.lp, k.c,
+        UNNEST(RANGE(CAST(GREATEST(0, f.free - k.later) AS BIGINT), CAST(LEAST(f.free, k.c) AS BIGINT) + 1)) AS x
+      FROM f JOIN k ON k.variable = f.variable AND k.j = f.j + 1))"""
+
+
+@query(
+    "fisher_exact_test_by_language",
+    f"""WITH RECURSIVE {_BY_LANGUAGE} SELECT variable, CAST(ANY_VALUE(n) AS BIGINT) AS n, 'fisher' AS test,
+      ROUND(SUM(EXP(lp - LGAMMA(n + 1) + LGAMMA(r + 1) + LGAMMA(n - r + 1))) FILTER (lp <= seen + 1e-7), 6) AS p_value
+    FROM f JOIN m USING (variable) WHERE j = cols GROUP BY variable""",
+)
+def fisher_exact_test_by_language(spark, sf_dir):
+    """Tables of 2 x 4, against an enumeration of all tables with their margins."""
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    return rounded(stats.fisher(rows, ["quality", "toxic"], "lang"), 6, ("p_value",))
+
+
 @query(
     "categorical_test_by_expected_count",
     f"""WITH {_FISHER}, x AS ({chi_parts('labels', 'quality', 'toxic')}),

@@ -1,5 +1,6 @@
 """Order statistics and tests against direct computation."""
 
+import itertools
 import math
 import random
 
@@ -172,6 +173,45 @@ def test_exact_two_by_two_of_large_counts():
     assert p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-3)
 
 
+def brute_rank_sum(a, b):
+    """Share of all draws whose mean rank is at least as far from the middle as the one seen."""
+    values = np.array([*a, *b], dtype=float)
+    rank = np.array([(values < v).sum() + ((values == v).sum() + 1) / 2 for v in values])
+    middle = rank.mean() * len(a)
+    far = [abs(rank[list(d)].sum() - middle) for d in itertools.combinations(range(len(values)), len(a))]
+    return np.mean(np.array(far) >= abs(rank[: len(a)].sum() - middle) - 1e-9)
+
+
+@pytest.mark.parametrize(
+    "a, b",
+    [
+        ([1, 2, 2, 3], [2, 3, 3, 4, 5]),
+        ([5, 5, 5], [5, 5]),
+        ([1], [1, 2, 2, 2, 7]),
+        ([1.5, 1.5, 9, 9, 9, 10], [0, 1.5]),
+        ([1, 4, 6], [2, 3, 5, 7]),
+        ([-3, -3, 0, 0, 0, 8], [-3, 0, 8, 8, 8, 8, 8]),
+    ],
+)
+def test_exact_rank_sum_of_tied_scores(frame, a, b):
+    df = frame("g string, v double", *[("a", float(v)) for v in a], *[("b", float(v)) for v in b], ("c", 1.0), ("a", None))
+    want = brute_rank_sum(a, b)
+    assert stats.rank_sum(df, "v", "g", ("a", "b"), exact=True).first()["p_value"] == pytest.approx(want)
+    assert stats.rank_sum(df, "v", "g", ("b", "a"), exact=True).first()["p_value"] == pytest.approx(want)
+
+
+def test_exact_rank_sum_of_larger_samples(frame):
+    n1, n2 = 30, 70
+    w = 700
+    below, size = np.arange(n1 + n2), np.ones(n1 + n2, dtype=int)
+    assert dist.rank_sum_tied(w, n1, below, size) == pytest.approx(dist.rank_sum_exact(w, n1, n2), rel=1e-9)
+    assert dist.rank_sum_tied(n1 * n2 - w, n2, below, size) == pytest.approx(dist.rank_sum_exact(w, n1, n2), rel=1e-9)
+    empty = frame("g string, v double", ("a", 1.0), ("a", None))
+    assert stats.rank_sum(empty, "v", "g", ("a", "b"), exact=True).first()["p_value"] is None
+    plain = frame("g string, v double", ("a", 1.0), ("a", 2.0), ("b", 3.0))
+    assert stats.rank_sum(plain, "v", "g", ("a", "b"), exact=False).first()["p_value"] == pytest.approx(dist.normal_two_sided(-0.5 / np.sqrt(2 / 12 * 4)))
+
+
 def test_rank_sum_exact_small():
     # Complete separation of 3 and 3: two of twenty arrangements are as extreme.
     assert dist.rank_sum_exact(0, 3, 3) == pytest.approx(0.1)
