@@ -173,6 +173,18 @@ def test_exact_two_by_two_of_large_counts():
     assert p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-3)
 
 
+@pytest.mark.parametrize(
+    "table",
+    [[[3, 1, 4], [1, 5, 9]], [[0, 7, 2, 2], [9, 1, 3, 4]], [[1, 1, 1, 1], [30, 2, 5, 9]], [[5, 0, 0, 6], [0, 5, 6, 0]], [[2, 2, 2, 1, 0], [1, 1, 4, 0, 3]]],
+)
+def test_fisher_of_two_rows_closes_the_last_columns_at_once(table):
+    table = np.array(table)
+    want = brute_fisher(table)
+    for block in (3, 500_000):
+        assert dist.fisher_table(table, block=block) == pytest.approx(want, rel=1e-9)
+        assert dist.fisher_table(table[::-1, ::-1], block=block) == pytest.approx(want, rel=1e-9)
+
+
 def brute_rank_sum(a, b):
     """Share of all draws whose mean rank is at least as far from the middle as the one seen."""
     values = np.array([*a, *b], dtype=float)
