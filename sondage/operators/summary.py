@@ -7,6 +7,7 @@ stage, counted before the shuffle, and all later steps see counts only.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import localcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -220,15 +221,56 @@ def continuous_long(
     )
 
 
-def moments_of(long: DataFrame) -> DataFrame:
-    return long.groupBy("variable", "group").agg(
+def _moments() -> list[Column]:
+    return [
         F.count("value").alias("n"),
         (F.count(F.lit(1)) - F.count("value")).alias("n_missing"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+    ]
+
+
+def moments_of(long: DataFrame) -> DataFrame:
+    return long.groupBy("variable", "group").agg(*_moments())
+
+
+#: Values of this type add up without rounding, and so do their squares.
+EXACT = "decimal(18,6)"
+
+
+def mean_and_sd(n, total, squares):
+    """Mean and standard deviation from exact sums of the values and of their squares."""
+    out = {"mean": None, "sd": None}
+    with localcontext() as context:
+        context.prec = 100
+        if total is not None:
+            out["mean"] = float(total / n)
+        if total is not None and squares is not None and n > 1:
+            out["sd"] = float(((squares - total * total / n) / (n - 1)).sqrt())
+    return out
+
+
+def exact_moments_of(long: DataFrame) -> DataFrame:
+    """As ``moments_of``, with mean and sd the same for any order of the rows.
+
+    Values are summed as decimals, as they are written: a mean that ends in 5 behind the
+    digits shown must not round by what summing left in its last bits. A group with a
+    value that has more digits than EXACT, or with sums that do not fit, keeps the
+    moments in floating point.
+    """
+    value = F.col("value")
+    exact = value.try_cast(EXACT)
+    fits = F.bool_and(value.isNull() | exact.cast("double").eqNullSafe(value))
+    sums = {"_total": F.try_sum(exact), "_squares": F.try_sum(exact * exact)}
+    rows = long.groupBy("variable", "group").agg(
+        *_moments(), *[F.when(fits, c).alias(name) for name, c in sums.items()]
     )
+    found = F.udf(mean_and_sd, "mean double, sd double")("n", "_total", "_squares")
+    rows = rows.withColumn("_exact", found)
+    better = {c: F.coalesce(F.col(f"_exact.{c}"), F.col(c)) for c in ("mean", "sd")}
+    return rows.withColumns(better).drop("_exact", *sums)
 
 
 def continuous(
@@ -249,7 +291,7 @@ def continuous(
     """
     long = continuous_long(df, variables, by, overall, missing_group)
     keys = ["variable", "group"]
-    moments = moments_of(long)
+    moments = exact_moments_of(long)
     wanted = {
         k: p for k, p in QUARTILES.items() if template is None or "{" + k + "}" in template
     }

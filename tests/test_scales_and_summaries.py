@@ -1,5 +1,8 @@
 """Scales with all, one and no items missing; summary tables and their denominators."""
 
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +140,37 @@ def test_continuous_of_single_and_empty_groups(frame):
     assert text["stat"] == "3.5 (2.6); 3.0 (1.5, 5.5)"
 
 
+def test_means_that_end_in_five_behind_the_digits_round_up(frame):
+    """Means of 32 prices end in 5 at the seventh digit: sums in floating point round some of them down."""
+    rng = random.Random(4)
+    cents = {f"g{k}": [rng.randrange(10**5, 5 * 10**7) for _ in range(32)] for k in range(60)}
+    for all_of in cents.values():
+        all_of[0] += 1 - sum(all_of) % 2
+    df = frame("g string, v double", *[(g, c / 100) for g, all_of in cents.items() for c in all_of])
+    want = {}
+    for g, all_of in cents.items():
+        millionths = int(Fraction(sum(all_of) * 10**4, 32) + Fraction(1, 2))
+        want[g] = f"{millionths // 10**6:,}.{millionths % 10**6:06d}"
+    for shape in (df.coalesce(1), df.repartition(5)):
+        out = summary.continuous(shape, ["v"], by="g", template="{mean}", digits=6)
+        got = {r["group"]: r["stat"] for r in out.collect()}
+        assert {g: t for g, t in got.items() if g != "Overall"} == want
+
+
+def test_moments_of_values_that_are_no_short_decimals(frame):
+    """Values with more digits, huge ones, and none that is a number, keep floating point; equal values have sd 0."""
+    third, nan = 1 / 3, float("nan")
+    df = frame(
+        "g string, v double", ("a", third), ("a", third), ("b", 1e30), ("b", 1e30), ("c", nan), ("c", 1.0),
+        ("d", 0.1), ("d", 0.1), ("d", 0.1), ("e", 1e-9), ("e", 3e-9), ("f", 9e11), ("f", -9e11), ("g", -0.0),
+    )
+    got = {r["group"]: (r["mean"], r["sd"]) for r in summary.continuous(df, ["v"], by="g", overall=False).collect()}
+    assert got["a"] == (third, 0.0) and got["b"] == (1e30, 0.0)
+    assert all(x != x for x in got["c"])
+    assert got["d"] == (0.1, 0.0) and got["e"] == pytest.approx((2e-9, 2e-9 / 2**0.5))
+    assert got["f"] == (0.0, 9e11 * 2**0.5) and got["g"] == (0.0, None)
+
+
 def test_percent_text(frame):
     df = frame("n long, t long", (1, 8), (1, 80), (1, 1500), (0, 5), (5, 5), (1, 200), (0, 0), (995, 10000))
     got = values(df, percent_text(F.col("n"), F.col("t")))
