@@ -14,6 +14,7 @@ scoring needs no shuffle and no Python.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,17 +138,17 @@ class Selector:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * total))
 
 
-def training_rows(docs: DataFrame, doc_id: str, text: str, most_documents: int, most_rows: int) -> DataFrame:
-    """Candidates of a bounded sample of documents, with features and labels.
+def training_rows(docs: DataFrame, doc_id: str, text: str, most_documents: int | None = None, most_rows: int | None = None) -> DataFrame:
+    """Candidates of all documents, with features and labels, one row each.
 
-    The sample is those with a digit or an at sign among the documents of smallest hash,
-    the same at each run. As in scoring, a candidate that a rule does not accept is left
-    out where a base span that meets its rule overlaps it: it is personal data or a piece
-    of it.
+    As in scoring, a candidate that a rule does not accept is left out where a base span
+    that meets its rule overlaps it: it is personal data or a piece of it. ``train`` takes
+    all of them; bounds are for trials, and keep what has the smallest hashes.
     """
     named = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    ids = smallest_hashes(named.select("id"), most_documents, "id").distinct()
-    some = named.join(F.broadcast(ids), "id").where(F.col("body").rlike("[0-9@]")).select(F.xxhash64("id").alias("h"), "body")
+    if most_documents is not None:
+        named = named.join(F.broadcast(smallest_hashes(named.select("id"), most_documents, "id").distinct()), "id")
+    some = named.where(F.col("body").rlike(r"[0-9@]|[(\[]at[)\]]")).select(F.xxhash64("id").alias("h"), "body")
     found = candidates(F.col("body"))
     some = some.select("h", *[c.alias(f"_{name}") for name, c in found.items()])
     base = spans.in_order(*[spans.as_spans(F.filter(F.col(f"_{k.name}"), _meets(k.name)), k.name, i) for i, k in enumerate(BASE)])
@@ -158,7 +159,7 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, most_documents: int,
         rows.append(F.filter(labelled, lambda x: (x["label"] == 1) | _apart(x, F.col("_base"))))
     row = some.select("h", F.explode(F.flatten(F.array(*rows))).alias("c"))
     row = row.select((F.col("h") % 2 == 0).alias("fit"), F.col("c.label").alias("label"), *[v.alias(n) for n, v in features(F.col("c")).items()])
-    return row.limit(most_rows)
+    return row if most_rows is None else smallest_hashes(row, most_rows, *row.columns)
 
 
 def _labelled(kind: Kind):
@@ -176,24 +177,31 @@ def train(
     trees: int = 9,
     depth: int = 4,
     precision: float = 0.98,
-    most_documents: int = 20_000,
-    most_rows: int = 200_000,
 ) -> Selector | None:
-    """Boosted trees and their threshold from at most ``most_documents`` documents; None if they hold one label only.
+    """Boosted trees and their threshold from all documents; None if they hold one label only.
 
-    Half the sample grows the trees. On the other half, scores fall into fifty bins; the
-    threshold is the lowest bin above which the share of positives, smoothed by one
-    negative, is at least ``precision``.
+    Candidates with the same features and label are one row with their number as its
+    weight, so what the trees are grown from follows the kinds of candidates and not the
+    documents. Half the documents grow the trees. On the other half, scores fall into
+    fifty bins; the threshold is the lowest bin above which the share of positives,
+    smoothed by one negative, is at least ``precision``.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = kept_table(training_rows(docs, doc_id, text, most_documents, most_rows), "candidates")
+    rows = training_rows(docs, doc_id, text)
     names = [c for c in rows.columns if c not in ("fit", "label")]
-    if rows.where("fit").select("label").distinct().count() < 2:
+    rows = kept_table(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("weight")), "candidates")
+    sizes = [r["count"] for r in rows.where("fit").groupBy("label").count().collect()]
+    if len(sizes) < 2:
         return None
     fit = VectorAssembler(inputCols=names, outputCol="features").transform(rows.where("fit"))
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=1).fit(fit)
+    # every value of a feature is a split point (65 at most), and with bins by the square
+    # root of the rows Spark looks for these in all rows, of which it would draw some
+    bins = max(66, isqrt(sum(sizes)) + 1)
+    model = GBTClassifier(
+        labelCol="label", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=bins, stepSize=0.3, seed=1
+    ).fit(fit)
 
     def node(n):
         if n.subtreeDepth() == 0:
@@ -203,7 +211,7 @@ def train(
     grown = tuple(node(t._call_java("rootNode")) for t in model.trees)
     selector = Selector(grown, tuple(model.treeWeights), 1.0)
     score = selector.score({c: F.col(c) for c in names})
-    binned = rows.where("not fit").select(F.floor(score * 50).alias("bin"), "label").groupBy("bin").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+    binned = rows.where("not fit").groupBy(F.floor(score * 50).alias("bin")).agg(F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("good"))
     n = good = 0.0
     threshold = 1.01
     for row in sorted(binned.collect(), key=lambda r: -r["bin"]):

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sondage.llm import pii as P
 
@@ -91,6 +92,27 @@ def test_pieces_of_personal_data_are_no_negatives(spark):
     assert "phone_like" in kinds[0] and kinds[1] == {"email_like"} and kinds[2] == set()
 
 
+def test_trees_are_trained_on_all_documents(spark, monkeypatch):
+    """Each candidate of 24,000 documents counts, and what few of them hold is learnt."""
+    docs = spark.range(24_000).selectExpr(
+        "id as doc_id", "CASE WHEN id % 12 = 0 THEN concat('on 1', id % 10, '/12 left') WHEN id % 12 = 1 THEN 'joe (at) example (dot) org' ELSE concat('host ip 10.0.', id % 200, '.7 up') END as text"
+    )
+    seen, keep = [], P.kept_table
+    monkeypatch.setattr(P, "kept_table", lambda frame, name: seen.append(keep(frame, name)) or seen[-1])
+    assert P.train(docs)
+    (rows,) = seen
+    assert {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("weight").alias("n")).collect()} == {1.0: 20_000, 0.0: 4_000}
+    assert rows.count() < 100
+
+
+def test_counted_candidates_grow_the_trees_of_single_ones(spark, texts):
+    """Weights stand for repeated rows: documents three times over give the same trees and threshold."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    once, often = P.train(docs), P.train(docs.union(docs).union(docs))
+    names = lambda node: (node[0], node[1], names(node[2]), names(node[3])) if isinstance(node, tuple) else None
+    assert [names(t) for t in once.trees] == [names(t) for t in often.trees]
+
+
 @pytest.mark.parametrize(
     "text,expected",
     [
